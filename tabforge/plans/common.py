@@ -51,3 +51,36 @@ target AS (
 
 def target(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", (F.col("c_acctbal") < 0).cast("int").alias("target"))
+
+
+# --- SQL twins of the contract ------------------------------------------------------
+SQL_AGG = {"mean": "avg({})", "max": "max({})", "min": "min({})",
+           "sum": "coalesce(sum({}), 0)", "median": "median({})", "var": "var_samp({})",
+           "std": "stddev_samp({})", "count": "count({})", "nunique": "count(DISTINCT {})"}
+
+
+def sql_ratio(num: str, den: str) -> str:
+    """C4: NULL on a zero denominator."""
+    return f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0))"
+
+
+def sql_ratio_inf0(num: str, den: str) -> str:
+    """+inf -> 0, 0/0 and -x/0 missing."""
+    return (f"(CASE WHEN CAST({den} AS DOUBLE) = 0 AND {num} > 0 THEN 0.0 "
+            f"ELSE {sql_ratio(num, den)} END)")
+
+
+def sql_grid(keys: list[str], cols: list[str], aggs: list[str]) -> list[tuple[str, str, str]]:
+    """(name, sql expression, agg) for a recipe grid, agg-major like the
+    reference's recipe lists."""
+    from ..operators.recipes import stat_name
+    return [(stat_name(keys, a, c), SQL_AGG[a].format(c), a) for a in aggs for c in cols]
+
+
+def rounded_select(items: list[tuple[str, str, str]]) -> str:
+    """Round each grid column; variances to 2 decimals."""
+    return ", ".join(f"{R(e, 2 if a == 'var' else 6)} AS {n}" for n, e, a in items)
+
+
+def var_overrides(names) -> dict:
+    return {n: 2 for n in names if "_var_" in n}

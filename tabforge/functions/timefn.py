@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .contract import ColumnOrName, col
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 MICROS_PER_MINUTE = 60 * 1_000_000
 
 
@@ -54,14 +53,18 @@ def as_ntz(c: ColumnOrName) -> Column:
     return col(c).cast("timestamp_ntz")
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_micros(c: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 00:00 of the wall-clock value."""
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, as_ntz(c))
+    return F.timestamp_diff("MICROSECOND", _epoch(), as_ntz(c))
 
 
 def from_epoch_micros(c: ColumnOrName) -> Column:
     """Inverse of ``epoch_micros``; returns TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", col(c), EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", col(c), _epoch())
 
 
 def round_to_minutes(c: ColumnOrName, minutes: int) -> Column:

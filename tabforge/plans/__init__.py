@@ -4,5 +4,5 @@ Importing this package registers every query in ``registry.QUERIES`` /
 ``registry.ORACLE``.
 """
 
-from . import credit, events, trip  # noqa: F401
+from . import cover, credit, events, passenger, trip  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

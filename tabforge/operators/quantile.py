@@ -2,12 +2,19 @@
 
 ``percentile``/``median`` keep every distinct value of a group in one
 aggregation buffer; fine per low-cardinality group, not for a global
-statistic over a huge table.  ``exact_quantiles`` brackets each target
-rank with ``percentile_approx`` (rank error <= n / accuracy), counts the
-rows below the bracket with a distributed count, and brings only the
-distinct values inside the bracket (about 4n/accuracy rows at most) to
-the driver to pick the exact order statistics.  Interpolation is linear
-between the two neighbouring order statistics, as in pandas.
+statistic over a huge table.  ``exact_quantiles`` works in three jobs
+whatever the number of probabilities:
+
+1. one aggregate: the count and ``percentile_approx`` at ``p -/+ margin``
+   for every target p (rank error of the sketch <= n / accuracy);
+2. one aggregate: how many values fall below each bracket;
+3. the distinct values inside the brackets with their counts (about
+   ``4 n / accuracy`` values per bracket, bounded by the accuracy) reach
+   the driver, which walks them to the exact order statistics.
+
+Interpolation is linear between neighbouring order statistics, as pandas
+does.  Should a bracket miss its rank (it cannot when the sketch keeps its
+guarantee), that probability falls back to Spark's exact ``percentile``.
 """
 
 from __future__ import annotations
@@ -22,39 +29,51 @@ ACCURACY = 100_000
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
                     accuracy: int = ACCURACY) -> list[float | None]:
-    x = F.col(column).cast("double")
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    n = vals.count()
+    vals = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+    margin = 3.0 / accuracy
+    edges = []
+    for p in probs:
+        edges += [max(0.0, p - margin), min(1.0, p + margin)]
+    first = vals.agg(F.count(F.lit(1)).alias("n"),
+                     F.percentile_approx("x", edges, accuracy).alias("q")).first()
+    n = first["n"]
     if n == 0:
         return [None for _ in probs]
-    out = []
-    for p in probs:
-        pos = p * (n - 1)                       # 0-based fractional rank
-        lo_rank, hi_rank = int(pos // 1), min(int(pos // 1) + 1, n - 1)
-        margin = 2.0 / accuracy + 1.0 / n
-        lo_p, hi_p = max(0.0, lo_rank / max(n - 1, 1) - margin), min(1.0, hi_rank / max(n - 1, 1) + margin)
-        lo, hi = vals.agg(F.percentile_approx("x", [lo_p, hi_p], accuracy).alias("q")).first()["q"]
-        if lo_p == 0.0:
-            lo = None
-        if hi_p == 1.0:
-            hi = None
-        cond = F.lit(True)
+    q = first["q"]
+    brackets = []
+    for i, p in enumerate(probs):
+        lo = None if edges[2 * i] == 0.0 else q[2 * i]
+        hi = None if edges[2 * i + 1] == 1.0 else q[2 * i + 1]
+        brackets.append((lo, hi))
+    below_exprs = [F.count_if(F.col("x") < lo).alias(f"b{i}") if lo is not None else F.lit(0).alias(f"b{i}")
+                   for i, (lo, _) in enumerate(brackets)]
+    below = vals.agg(*below_exprs).first()
+    cond = F.lit(False)
+    for lo, hi in brackets:
+        c = F.lit(True)
         if lo is not None:
-            cond = cond & (F.col("x") >= lo)
+            c = c & (F.col("x") >= lo)
         if hi is not None:
-            cond = cond & (F.col("x") <= hi)
-        below = 0 if lo is None else vals.where(F.col("x") < lo).count()
-        inside = vals.where(cond).groupBy("x").count().orderBy("x").collect()
-        picks, seen = {}, below
-        for r in inside:
+            c = c & (F.col("x") <= hi)
+        cond = cond | c
+    inside = sorted((r["x"], r["count"]) for r in vals.where(cond).groupBy("x").count().collect())
+    out = []
+    for i, p in enumerate(probs):
+        pos = p * (n - 1)
+        lo_rank = int(pos)
+        hi_rank = min(lo_rank + 1, n - 1)
+        lo, hi = brackets[i]
+        seen = below[f"b{i}"]
+        picks = {}
+        for x, cnt in inside:
+            if (lo is not None and x < lo) or (hi is not None and x > hi):
+                continue
             for k in (lo_rank, hi_rank):
-                if k not in picks and seen <= k < seen + r["count"]:
-                    picks[k] = r["x"]
-            seen += r["count"]
-        if lo_rank not in picks or hi_rank not in picks:   # bracket missed: exact fallback
-            q = vals.agg(F.percentile("x", p).alias("q")).first()["q"]
-            out.append(q)
+                if k not in picks and seen <= k < seen + cnt:
+                    picks[k] = x
+            seen += cnt
+        if lo_rank not in picks or hi_rank not in picks:
+            out.append(vals.agg(F.percentile("x", p).alias("q")).first()["q"])
             continue
-        frac = pos - lo_rank
-        out.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * frac)
+        out.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
     return out

@@ -183,14 +183,21 @@ def positive_probability(df: DataFrame, out: str = "score") -> DataFrame:
 
 
 def out_of_fold(df: DataFrame, estimator_factory: Callable[[], object], fold: str, k: int,
-                id_col: str, score: Callable[[DataFrame], DataFrame] = positive_probability) -> DataFrame:
+                id_col: str, score: Callable[[DataFrame], DataFrame] = positive_probability,
+                validation: str | None = None) -> DataFrame:
     """Fit on ``fold != i``, score ``fold == i``, for every fold; the
-    union covers every row exactly once.  The input is checkpointed first
-    so the k fits do not recompute its lineage."""
+    union covers every row exactly once.  With ``validation`` the held-out
+    fold is also the early-stopping set (flagged in that column), as the
+    reference's ``valid_sets``.  The input is checkpointed first so the k
+    fits do not recompute its lineage."""
     data = cut_lineage(df)
     parts = []
     for i in range(k):
-        model = estimator_factory().fit(data.where(F.col(fold) != i))
+        if validation:
+            fit_on = data.withColumn(validation, F.col(fold) == i)
+        else:
+            fit_on = data.where(F.col(fold) != i)
+        model = estimator_factory().fit(fit_on)
         parts.append(score(model.transform(data.where(F.col(fold) == i))).select(id_col, "score"))
     out = parts[0]
     for p in parts[1:]:
@@ -198,12 +205,13 @@ def out_of_fold(df: DataFrame, estimator_factory: Callable[[], object], fold: st
     return out
 
 
-def cross_validate(df: DataFrame, estimator, evaluator, fold: str, grid=None, parallelism: int = 1):
+def cross_validate(df: DataFrame, estimator, evaluator, fold: str, k: int, grid=None,
+                   parallelism: int = 1):
     """K-fold cross-validation over a parameter grid with a
-    user-supplied fold column; returns the fitted ``CrossValidatorModel``."""
+    user-supplied fold column in [0, k); returns the ``CrossValidatorModel``."""
     grid = grid if grid is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-                        foldCol=fold, parallelism=parallelism, collectSubModels=False)
+                        foldCol=fold, numFolds=k, parallelism=parallelism, collectSubModels=False)
     return cv.fit(df)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import euclid, indicator_sum, smoothed_ratio
 from ..operators import encode
-from .common import R, T, finish, query
+from .common import R, T, finish, query, rnd
 
 H, V = "Horizontal_Distance_To_Hydrology", "Vertical_Distance_To_Hydrology"
 RD, FP = "Horizontal_Distance_To_Roadways", "Horizontal_Distance_To_Fire_Points"
@@ -237,12 +237,13 @@ def d06_corr_matrix(spark, sf_dir):
 
 @query("O04_top_k_by_corr", f"""WITH {COVER_SQL},
 c AS (SELECT * FROM (""" + " UNION ALL ".join(
-    f"SELECT '{a}' AS feature, abs(corr({a}, Cover_Type)) AS importance FROM ctrain" for a in CORR_COLS) + """)),
+    f"SELECT '{a}' AS feature, {R(f'abs(corr({a}, Cover_Type))')} AS importance FROM ctrain" for a in CORR_COLS) + """)),
 top AS (SELECT * FROM c ORDER BY importance DESC, feature LIMIT 5)
-SELECT feature, """ + R("importance") + " AS importance, " + R("sum(importance) OVER ()") + " AS share FROM top")
+SELECT feature, importance, """ + R("sum(importance) OVER ()") + " AS share FROM top")
 def o04_top_k_by_corr(spark, sf_dir):
     from ..operators.profile import top_k_share
     from ..operators.select import corr_with_target
     imp = corr_with_target(train_split(T(spark, sf_dir)), "Cover_Type", CORR_COLS)
-    imp = imp.select("feature", F.abs("corr").alias("importance"))
+    # rank on the rounded value so near-ties cut the same way everywhere
+    imp = imp.select("feature", rnd(F.abs("corr")).alias("importance"))
     return finish(top_k_share(imp, "importance", 5, tie="feature"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contract import safe_corr
-from .quantile import exact_quantiles
+from .quantile import exact_quantiles, group_quantiles
 
 # --- D01-D05 ---------------------------------------------------------------------------------
 
@@ -161,14 +161,11 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     """Quartiles per group, whiskers at the most extreme values within
     1.5 IQR of the box, and the count of values outside them.
 
-    Per-group exact percentiles (``percentile`` keeps the group's distinct
-    values in its buffer: meant for the low-cardinality class keys of
-    chart data).
+    Per-group exact quartiles come from ``group_quantiles`` (distinct
+    values per group, spillable), then one join and one aggregate.
     """
     x = F.col(col).cast("double")
-    q = df.where(x.isNotNull()).groupBy(by).agg(
-        F.percentile(x, [0.25, 0.5, 0.75]).alias("q"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = group_quantiles(df, col, [by], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = df.select(by, x.alias("v")).where(F.col("v").isNotNull()).join(q, by)
     inside = (F.col("v") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("v") <= F.col("q3") + 1.5 * F.col("iqr"))

@@ -77,3 +77,38 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
             continue
         out.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
     return out
+
+
+def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequence[float],
+                    names: Sequence[str]) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) as a DataFrame.
+
+    Rows are first collapsed to (keys, value, count) by a partial
+    aggregate, so a hot group costs its number of *distinct* values, not
+    its rows; a window ordered by value (a spillable sort, unlike the
+    in-memory map of ``percentile``) then gives running counts, and one
+    more aggregate picks the order statistics around each target rank.
+    Groups with a missing key are dropped (C3).
+    """
+    from pyspark.sql import Window
+
+    keys = list(keys)
+    cond = F.col(column).isNotNull()
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    counts = (df.where(cond).groupBy(*keys, F.col(column).cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys)
+    ranked = counts.select(*keys, "_v", F.sum("_c").over(upto).alias("_cum"),
+                           F.sum("_c").over(whole).alias("_n"))
+    aggs, outs = [], []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("_n") - 1)
+        lo = F.floor(pos)
+        hi = F.least(lo + 1, F.col("_n") - 1)
+        aggs += [F.min(F.when(F.col("_cum") > lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("_cum") > hi, F.col("_v"))).alias(f"_hi{i}"),
+                 F.first(pos - lo).alias(f"_f{i}")]
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i]))
+    return ranked.groupBy(*keys).agg(*aggs).select(*keys, *outs)

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contract import agg_by_name, all_not_null
+from .quantile import group_quantiles
 
 Spec = tuple[str, str]
 Recipe = tuple[Sequence[str], Sequence[Spec]]
@@ -58,13 +59,24 @@ def stat_exprs(keys: Sequence[str], specs: Sequence[Spec]) -> list[Column]:
 
 
 def aggregate(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], DataFrame]]:
-    """One statistics frame per key set, keys with missing values dropped."""
+    """One statistics frame per key set, keys with missing values dropped.
+
+    Algebraic statistics come from one ``groupBy().agg()``.  Medians are
+    holistic: they are computed by ``group_quantiles`` (distinct-value
+    counts + a spillable running count) and joined on the keys, so a hot
+    group never lands in one in-memory aggregation buffer.
+    """
     out = []
     for keys, specs in _merged(recipes):
-        stats = (df.where(all_not_null(keys))
-                 .groupBy(*keys)
-                 .agg(*stat_exprs(keys, specs)))
-        out.append((keys, stats))
+        plain = [(c, a) for c, a in specs if a != "median"]
+        medians = [(c, a) for c, a in specs if a == "median"]
+        base = df.where(all_not_null(keys))
+        stats = base.groupBy(*keys).agg(*stat_exprs(keys, plain)) if plain else None
+        for c, _ in medians:
+            m = group_quantiles(base, c, keys, [0.5], [stat_name(keys, "median", c)])
+            stats = m if stats is None else stats.join(m, on=list(keys), how="left")
+        names = list(keys) + [stat_name(keys, a, c) for c, a in specs]
+        out.append((keys, stats.select(*names)))
     return out
 
 

@@ -554,3 +554,10 @@ def v04_r2(spark, sf_dir):
     from ..operators.metrics import r2
     p = predictions(T(spark, sf_dir)).select(F.log1p("predicted").alias("p"), F.log1p("actual").alias("a"))
     return finish(r2(p, "p", "a"))
+
+
+@query("F16_l1_distance", f"""WITH {TRIPS_SQL}
+SELECT id, {R('abs(dropoff_latitude - pickup_latitude) + abs(dropoff_longitude - pickup_longitude)')} AS l1 FROM trips""")
+def f16_l1_distance(spark, sf_dir):
+    return finish(trips(T(spark, sf_dir)).select(
+        "id", geo.l1("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude").alias("l1")))

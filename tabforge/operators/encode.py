@@ -99,7 +99,10 @@ def target_mean(train: DataFrame, key: str, cols: Sequence[str], name_fmt: str =
 
 def apply_target_mean(frames: Sequence[DataFrame], stats: DataFrame, key: str) -> list[DataFrame]:
     """Left-join the fitted statistics onto every split."""
-    return [f.join(stats, on=key, how="left") for f in frames]
+    from .joins import measured
+    stats, fits = measured(stats)
+    side = F.broadcast(stats) if fits else stats
+    return [f.join(side, on=key, how="left") for f in frames]
 
 
 def draw_offsets(copies: int, ranges: Mapping[str, tuple[int, int]], seed: int) -> list[dict[str, int]]:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contract import safe_corr
+from .joins import join_measured
 from .quantile import exact_quantiles, group_quantiles
 
 # --- D01-D05 ---------------------------------------------------------------------------------
@@ -147,8 +148,8 @@ def kde(df: DataFrame, col: str, by: str | None = None, gridsize: int = 200, cut
     stats = stats.withColumn("g0", F.col("lo") - F.lit(cut) * F.col("bw")).withColumn(
         "step", (F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("bw")) / F.lit(gridsize - 1))
     weights = data.groupBy(*keys, x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    # one stats row per class: a small side that AQE broadcasts after measuring it
-    joined = weights.join(stats, on=by, how="inner")
+    # one stats row per class: measured, then broadcast
+    joined = join_measured(weights, stats, by, "inner")
     g = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi")
     grid = joined.select(*keys, "v", "w", "n", "bw", "g0", "step", g)
     gx = F.col("g0") + F.col("gi") * F.col("step")
@@ -167,7 +168,7 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     x = F.col(col).cast("double")
     q = group_quantiles(df, col, [by], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(by, x.alias("v")).where(F.col("v").isNotNull()).join(q, by)
+    j = join_measured(df.select(by, x.alias("v")).where(F.col("v").isNotNull()), q, by, "inner")
     inside = (F.col("v") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("v") <= F.col("q3") + 1.5 * F.col("iqr"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),

@@ -12,10 +12,9 @@ Scale notes
   is combined map-side before the shuffle; algebraic aggregates never
   pull a whole group into one task.
 * The statistics frame has one row per key combination.  It is joined
-  back without a forced broadcast: AQE measures the materialised stage and
-  turns the join into a broadcast hash join when it is under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that it stays
-  a sort-merge join with skew splitting.
+  back with ``join_measured``: materialised and measured first, broadcast
+  only when under the broadcast threshold, else a sort-merge join with
+  AQE skew splitting.  The fact side is never shuffled for a small side.
 * Rows with a missing key form no group (C3) and an equi-join never
   matches NULL, so they receive NULL statistics, as in pandas.
 """
@@ -28,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contract import agg_by_name, all_not_null
+from .joins import join_measured
 from .quantile import group_quantiles
 
 Spec = tuple[str, str]
@@ -109,7 +109,7 @@ def enrich(df: DataFrame, recipes: Sequence[Recipe], stats_from: DataFrame | Non
     source = df if stats_from is None else stats_from
     out = df
     for keys, stats in aggregate(source, recipes):
-        out = out.join(stats, on=list(keys), how="left")
+        out = join_measured(out, stats, list(keys), "left")
     if deviations:
         out = out.select("*", *deviation_exprs(recipes))
     return out
@@ -117,7 +117,7 @@ def enrich(df: DataFrame, recipes: Sequence[Recipe], stats_from: DataFrame | Non
 
 def attach_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join fitted statistics onto rows by 1-4 keys."""
-    return df.join(stats, on=list(keys), how="left")
+    return join_measured(df, stats, list(keys), "left")
 
 
 def recipe_grid(keys: Sequence[str], columns: Sequence[str], aggs: Sequence[str]) -> list[Recipe]:

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_measured
 from ..functions.timefn import (MICROS_PER_MINUTE, as_ntz, epoch_micros, floor_to_minutes,
                                 from_epoch_micros, round_to_minutes)
 
@@ -71,7 +72,7 @@ def attach_bucket(df: DataFrame, labelled: DataFrame, ts: str, key: str,
     out_col = out_col or value_col
     rows = df.withColumn(bucket_col, round_to_minutes(ts, round_minutes))
     right = labelled.select(F.col(bucket_col), F.col(key), F.col(value_col).alias(out_col))
-    return (rows.join(right, on=[bucket_col, key], how="left")
+    return (join_measured(rows, right, [bucket_col, key], "left")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(fill))))
 
 
@@ -110,7 +111,7 @@ def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, grain_minutes
                       F.sum(F.col("_own").cast("long")).over(w).alias("_upto"),
                       F.sum((~F.col("_own")).cast("long")).over(w).alias("_gone"))
               .where(F.col("_own")))
-    return (ranked.join(before, on="_g", how="left")
+    return (join_measured(ranked, before, "_g", "left")
             .select(*[F.col(c) for c in df.columns],
                     (F.coalesce(F.col("_full"), F.lit(0)) + F.col("_upto") - F.col("_gone"))
                     .alias(out_col)))

@@ -60,7 +60,8 @@ def s04_prediction_sink(spark, sf_dir):
     from ..functions.contract import ratio
     train, test = trip.features(T(spark, sf_dir))
     stats = encode.target_mean(train, "Hour", ["avg_speed_h"])
-    pred = test.join(stats, "Hour", "inner").select(
+    from ..operators.joins import join_measured
+    pred = join_measured(test, stats, "Hour", "inner").select(
         "id", ratio(F.col("distance_haversine") * 1000, "avg_speed_h_gby_Hour").alias("trip_duration"))
     path = _fresh(spark, "submission")
     csv.write_predictions(pred, "id", "trip_duration", path)

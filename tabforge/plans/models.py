@@ -104,8 +104,9 @@ def trip_frame(t):
     routes = trip.routes(t)
     stats = trip.coord_stats(train, 100)
     train, test = trip.pca_manhattan(train, test)
-    train = train.join(routes, "id", "left").join(stats, ["Hour", "pickup_dropoff_loc"], "left")
-    test = test.join(routes, "id", "left").join(stats, ["Hour", "pickup_dropoff_loc"], "left")
+    from ..operators.joins import join_measured
+    train = join_measured(train.join(routes, "id", "left"), stats, ["Hour", "pickup_dropoff_loc"], "left")
+    test = join_measured(test.join(routes, "id", "left"), stats, ["Hour", "pickup_dropoff_loc"], "left")
     feats = ["vendor_id", "distance_haversine", "distance_dummy_manhattan", "direction", "Month", "Hour",
              "dayofweek", "hourofweek", "extreme_weather", "pickup_dropoff_loc",
              "total_distance", "total_travel_time", "number_of_steps",

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, timefn
 from ..functions.contract import ratio
 from ..operators import clean, encode, ml
+from ..operators.joins import join_measured
 from .common import R, T, finish, query, rnd
 
 # The 18 extreme-weather days of the trip program (2016).
@@ -524,7 +525,7 @@ pred AS (SELECT s.id, CAST(s.trip_duration AS DOUBLE) AS actual,
 def predictions(t) -> DataFrame:
     train, _ = features(t)
     stats = encode.target_mean(train, "Hour", ["avg_speed_h"])
-    return (train.join(stats, on="Hour", how="inner")
+    return (join_measured(train, stats, "Hour", "inner")
             .select("id", F.col("trip_duration").cast("double").alias("actual"),
                     ratio(F.col("distance_haversine") * 1000, "avg_speed_h_gby_Hour").alias("predicted")))
 

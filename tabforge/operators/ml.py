@@ -88,17 +88,20 @@ def assign_nearest(cols: Sequence[str], centers: Sequence[Sequence[float]]) -> C
     """Index of the nearest centre (squared Euclidean, first on ties).
 
     The centres (k x d numbers, bounded by k) become literals inside one
-    expression, so assignment is a projection: no join, no shuffle.
+    expression, so assignment is a projection: no join, no shuffle.  The
+    k distances form one array and ``array_position(array_min)`` picks the
+    first minimum, which keeps the generated code small enough for
+    whole-stage codegen (a nested ``least`` of structs is not).
     """
-    best = None
-    for i, c in enumerate(centers):
+    dists = []
+    for c in centers:
         d = None
         for col_name, v in zip(cols, c):
             diff = F.col(col_name) - F.lit(float(v))
             d = diff * diff if d is None else d + diff * diff
-        cand = F.struct(d.alias("d"), F.lit(i).alias("i"))
-        best = cand if best is None else F.least(best, cand)
-    return best.getField("i")
+        dists.append(d)
+    arr = F.array(*dists)
+    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
 
 
 def pca2_fit(points: DataFrame, x: str, y: str) -> dict[str, float]:

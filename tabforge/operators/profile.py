@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.contract import safe_corr
 from .joins import join_measured
-from .quantile import exact_quantiles, group_quantiles
+from .quantile import exact_quantiles_multi, group_quantiles
 
 # --- D01-D05 ---------------------------------------------------------------------------------
 
@@ -50,9 +50,10 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
         F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
         F.max(c).cast("double").alias(f"{c}__max"))]).first()
+    qs = exact_quantiles_multi(df, {c: [0.25, 0.5, 0.75] for c in cols})
     rows = []
     for c in cols:
-        q1, q2, q3 = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        q1, q2, q3 = qs[c]
         rows.append((c, int(moments[f"{c}__count"]), moments[f"{c}__mean"], moments[f"{c}__std"],
                      moments[f"{c}__min"], q1, q2, q3, moments[f"{c}__max"]))
     return df.sparkSession.createDataFrame(

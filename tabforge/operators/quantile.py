@@ -2,8 +2,8 @@
 
 ``percentile``/``median`` keep every distinct value of a group in one
 aggregation buffer; fine per low-cardinality group, not for a global
-statistic over a huge table.  ``exact_quantiles`` works in three jobs
-whatever the number of probabilities:
+statistic over a huge table.  ``exact_quantiles_multi`` works in three
+jobs whatever the number of columns and probabilities:
 
 1. one aggregate: the count and ``percentile_approx`` at ``p -/+ margin``
    for every target p (rank error of the sketch <= n / accuracy);
@@ -29,53 +29,67 @@ ACCURACY = 100_000
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
                     accuracy: int = ACCURACY) -> list[float | None]:
-    vals = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+    return exact_quantiles_multi(df, {column: list(probs)}, accuracy)[column]
+
+
+def exact_quantiles_multi(df: DataFrame, spec: dict[str, Sequence[float]],
+                          accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns in three jobs in total."""
+    cols = list(spec)
     margin = 3.0 / accuracy
-    edges = []
-    for p in probs:
-        edges += [max(0.0, p - margin), min(1.0, p + margin)]
-    first = vals.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("x", edges, accuracy).alias("q")).first()
-    n = first["n"]
-    if n == 0:
-        return [None for _ in probs]
-    q = first["q"]
-    brackets = []
-    for i, p in enumerate(probs):
-        lo = None if edges[2 * i] == 0.0 else q[2 * i]
-        hi = None if edges[2 * i + 1] == 1.0 else q[2 * i + 1]
-        brackets.append((lo, hi))
-    below_exprs = [F.count_if(F.col("x") < lo).alias(f"b{i}") if lo is not None else F.lit(0).alias(f"b{i}")
-                   for i, (lo, _) in enumerate(brackets)]
-    below = vals.agg(*below_exprs).first()
-    cond = F.lit(False)
-    for lo, hi in brackets:
-        c = F.lit(True)
-        if lo is not None:
-            c = c & (F.col("x") >= lo)
-        if hi is not None:
-            c = c & (F.col("x") <= hi)
-        cond = cond | c
-    inside = sorted((r["x"], r["count"]) for r in vals.where(cond).groupBy("x").count().collect())
-    out = []
-    for i, p in enumerate(probs):
-        pos = p * (n - 1)
-        lo_rank = int(pos)
-        hi_rank = min(lo_rank + 1, n - 1)
-        lo, hi = brackets[i]
-        seen = below[f"b{i}"]
-        picks = {}
-        for x, cnt in inside:
-            if (lo is not None and x < lo) or (hi is not None and x > hi):
+    edges = {c: [e for p in spec[c] for e in (max(0.0, p - margin), min(1.0, p + margin))] for c in cols}
+    x = {c: F.col(c).cast("double") for c in cols}
+    first = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.percentile_approx(x[c], edges[c], accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    brackets: dict[str, list] = {}
+    for i, c in enumerate(cols):
+        q, e = first[f"q{i}"] or [], edges[c]
+        brackets[c] = [((None if e[2 * j] == 0.0 else q[2 * j]), (None if e[2 * j + 1] == 1.0 else q[2 * j + 1]))
+                       for j in range(len(spec[c]))] if q else []
+    below_exprs, conds = [], []
+    for i, c in enumerate(cols):
+        cond = F.lit(False)
+        for j, (lo, hi) in enumerate(brackets[c]):
+            below_exprs.append((F.count_if(x[c] < lo) if lo is not None else F.lit(0)).alias(f"b{i}_{j}"))
+            cc = x[c].isNotNull()
+            if lo is not None:
+                cc = cc & (x[c] >= lo)
+            if hi is not None:
+                cc = cc & (x[c] <= hi)
+            cond = cond | cc
+        conds.append(F.when(cond, x[c]))
+    below = df.agg(*below_exprs).first() if below_exprs else None
+    # the bracket values of every column as (column index, value) pairs, one job
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), conds[i].alias("x"))
+                                         for i in range(len(cols))])).alias("e")).select("e.*")
+    inside: dict[int, list] = {i: [] for i in range(len(cols))}
+    for r in long.where(F.col("x").isNotNull()).groupBy("ci", "x").count().collect():
+        inside[r["ci"]].append((r["x"], r["count"]))
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        vals = sorted(inside[i])
+        res = []
+        for j, p in enumerate(spec[c]):
+            if n == 0:
+                res.append(None)
+                continue
+            pos = p * (n - 1)
+            lo_rank, hi_rank = int(pos), min(int(pos) + 1, n - 1)
+            lo, hi = brackets[c][j]
+            seen, picks = below[f"b{i}_{j}"], {}
+            for v, cnt in vals:
+                if (lo is not None and v < lo) or (hi is not None and v > hi):
+                    continue
+                for k in (lo_rank, hi_rank):
+                    if k not in picks and seen <= k < seen + cnt:
+                        picks[k] = v
+                seen += cnt
+            if lo_rank not in picks or hi_rank not in picks:
+                res.append(df.agg(F.percentile(x[c], p).alias("q")).first()["q"])
                 continue
-            for k in (lo_rank, hi_rank):
-                if k not in picks and seen <= k < seen + cnt:
-                    picks[k] = x
-            seen += cnt
-        if lo_rank not in picks or hi_rank not in picks:
-            out.append(vals.agg(F.percentile("x", p).alias("q")).first()["q"])
-            continue
-        out.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
+            res.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
+        out[c] = res
     return out
 
 

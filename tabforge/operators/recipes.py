@@ -11,10 +11,12 @@ Scale notes
 * ``groupBy`` uses partial aggregation, so a hot key (a third of all rows)
   is combined map-side before the shuffle; algebraic aggregates never
   pull a whole group into one task.
-* The statistics frame has one row per key combination.  It is joined
-  back with ``join_measured``: materialised and measured first, broadcast
-  only when under the broadcast threshold, else a sort-merge join with
-  AQE skew splitting.  The fact side is never shuffled for a small side.
+* All key sets are computed in ONE pass (``GROUPING SETS``), so the source
+  is scanned once however many key sets a recipe has.
+* The statistics have one row per key combination.  They are joined back
+  after being materialised and measured: broadcast only when under the
+  broadcast threshold, else a sort-merge join with AQE skew splitting.
+  The fact side is never shuffled for a small side.
 * Rows with a missing key form no group (C3) and an equi-join never
   matches NULL, so they receive NULL statistics, as in pandas.
 """
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contract import agg_by_name, all_not_null
-from .joins import join_measured
+from .joins import join_measured, measured
 from .quantile import group_quantiles
 
 Spec = tuple[str, str]
@@ -58,26 +60,64 @@ def stat_exprs(keys: Sequence[str], specs: Sequence[Spec]) -> list[Column]:
     return [agg_by_name(a, c).alias(stat_name(keys, a, c)) for c, a in specs]
 
 
-def aggregate(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], DataFrame]]:
-    """One statistics frame per key set, keys with missing values dropped.
+def _gid(keys: Sequence[str], all_keys: Sequence[str]) -> int:
+    """``grouping_id()`` of a grouping set over ``all_keys``."""
+    n = len(all_keys)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+
 
-    Algebraic statistics come from one ``groupBy().agg()``.  Medians are
-    holistic: they are computed by ``group_quantiles`` (distinct-value
-    counts + a spillable running count) and joined on the keys, so a hot
-    group never lands in one in-memory aggregation buffer.
+def _stats_plan(df: DataFrame, recipes: Sequence[Recipe]):
+    """(combined, [(keys, stats)]): every key set from ONE aggregation.
+
+    With several key sets the source is scanned once: ``GROUPING SETS``
+    expands each row once per set before the partial aggregation, and each
+    set's rows are picked out by ``grouping_id()``.  Groups with a missing
+    key (C3) are exactly the groups whose set keys hold a NULL, so they are
+    dropped after the aggregation.  Medians are holistic: they come from
+    ``group_quantiles`` (distinct-value counts + a spillable running count)
+    and are joined on the keys, so a hot group never sits in one in-memory
+    aggregation buffer.
     """
-    out = []
-    for keys, specs in _merged(recipes):
-        plain = [(c, a) for c, a in specs if a != "median"]
-        medians = [(c, a) for c, a in specs if a == "median"]
-        base = df.where(all_not_null(keys))
-        stats = base.groupBy(*keys).agg(*stat_exprs(keys, plain)) if plain else None
-        for c, _ in medians:
-            m = group_quantiles(base, c, keys, [0.5], [stat_name(keys, "median", c)])
-            stats = m if stats is None else stats.join(m, on=list(keys), how="left")
-        names = list(keys) + [stat_name(keys, a, c) for c, a in specs]
-        out.append((keys, stats.select(*names)))
-    return out
+    merged = _merged(recipes)
+    all_keys: list[str] = []
+    for keys, _ in merged:
+        all_keys += [k for k in keys if k not in all_keys]
+    plain: list[Spec] = []
+    for _, specs in merged:
+        plain += [sp for sp in specs if sp[1] != "median" and sp not in plain]
+
+    def tmp(c, a):
+        return f"__{a}__{c}"
+
+    exprs = [agg_by_name(a, c).alias(tmp(c, a)) for c, a in plain]
+    if len(merged) == 1:
+        keys = list(merged[0][0])
+        combined = df.where(all_not_null(keys)).groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_n")]))
+        gid = None
+    else:
+        combined = df.groupingSets([list(k) for k, _ in merged], *all_keys).agg(
+            *exprs, F.grouping_id().alias("_gid"))
+        gid = True
+    parts = []
+    for keys, specs in merged:
+        keys = list(keys)
+        part = combined
+        if gid:
+            part = part.where((F.col("_gid") == _gid(keys, all_keys)) & all_not_null(keys))
+        part = part.select(*keys, *[F.col(tmp(c, a)).alias(stat_name(keys, a, c))
+                                    for c, a in specs if a != "median"])
+        for c, _ in [(c, a) for c, a in specs if a == "median"]:
+            m = group_quantiles(df.where(all_not_null(keys)), c, keys, [0.5], [stat_name(keys, "median", c)])
+            part = part.join(m, on=keys, how="left")
+        part = part.select(*keys, *[stat_name(keys, a, c) for c, a in specs])
+        parts.append((tuple(keys), part))
+    return combined, parts
+
+
+def aggregate(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], DataFrame]]:
+    """One statistics frame per key set, keys with missing values
+    dropped; all key sets come from a single aggregation pass."""
+    return _stats_plan(df, recipes)[1]
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec]) -> DataFrame:
@@ -102,14 +142,19 @@ def enrich(df: DataFrame, recipes: Sequence[Recipe], stats_from: DataFrame | Non
            deviations: bool = True) -> DataFrame:
     """W01 + J02 + W02: attach group statistics beside each row.
 
-    ``stats_from`` fits the statistics on another split (e.g. train) and
-    applies them here; by default each split uses its own rows, as the
-    reference does.
+    The statistics of all key sets come from one aggregation, which is
+    materialised and measured once; when it fits the broadcast threshold
+    every key set's slice is broadcast (the rows are never shuffled),
+    otherwise each is a shuffle join.  ``stats_from`` fits the statistics
+    on another split (e.g. train) and applies them here; by default each
+    split uses its own rows, as the reference does.
     """
     source = df if stats_from is None else stats_from
+    combined, parts = _stats_plan(source, recipes)
+    _, fits = measured(combined)
     out = df
-    for keys, stats in aggregate(source, recipes):
-        out = join_measured(out, stats, list(keys), "left")
+    for keys, stats in parts:
+        out = out.join(F.broadcast(stats) if fits else stats, on=list(keys), how="left")
     if deviations:
         out = out.select("*", *deviation_exprs(recipes))
     return out

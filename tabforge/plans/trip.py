@@ -336,10 +336,9 @@ GBY = ["Hour", "hourofweek", "dayofweek", "pickup_dropoff_loc"]
 
 
 def encodings(train: DataFrame, test: DataFrame):
-    for key in GBY:
-        stats = encode.target_mean(train, key, ["avg_speed_h", "avg_speed_m"])
-        train, test = encode.apply_target_mean([train, test], stats, key)
-    return train, test
+    """E06 + J03: speed means by hour, hour of week, day and cluster, fitted
+    on train in one pass and joined onto both splits."""
+    return tuple(encode.apply_target_means([train, test], train, GBY, ["avg_speed_h", "avg_speed_m"]))
 
 
 @query("E06_target_mean", f"""{ALL_SQL}

@@ -93,29 +93,65 @@ def exact_quantiles_multi(df: DataFrame, spec: dict[str, Sequence[float]],
     return out
 
 
+# A group with more distinct values than this is split into value ranges.
+SPLIT_DISTINCT = 50_000
+RANGES = 64
+
+
 def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequence[float],
-                    names: Sequence[str]) -> DataFrame:
+                    names: Sequence[str], split_distinct: int = SPLIT_DISTINCT,
+                    ranges: int = RANGES) -> DataFrame:
     """Exact per-group quantiles (linear interpolation) as a DataFrame.
 
-    Rows are first collapsed to (keys, value, count) by a partial
-    aggregate, so a hot group costs its number of *distinct* values, not
-    its rows; a window ordered by value (a spillable sort, unlike the
-    in-memory map of ``percentile``) then gives running counts, and one
-    more aggregate picks the order statistics around each target rank.
+    1. Rows collapse to (keys, value, count) in a partial aggregate, so a
+       group costs its number of *distinct* values, not its rows.
+    2. Groups with more than ``split_distinct`` distinct values are hot:
+       for those only, ``ranges - 1`` cut points from a per-group sketch
+       split the values into ranges (a small table, one row per hot group,
+       measured before it is broadcast).  Every other group is one range.
+    3. Per (group, range) value totals give each range its offset within
+       the group (a window over at most ``ranges`` rows per group); a window
+       partitioned by (group, range) and ordered by value adds the running
+       count inside the range.  A hot group is thus sorted by ``ranges``
+       tasks, never by one; the cut points only balance the work, the
+       ranks stay exact.
+    4. One aggregate picks the order statistics around each target rank.
+
     Groups with a missing key are dropped (C3).
     """
+    from pyspark import StorageLevel
     from pyspark.sql import Window
 
+    from .joins import join_measured
+
     keys = list(keys)
     cond = F.col(column).isNotNull()
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     counts = (df.where(cond).groupBy(*keys, F.col(column).cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    ranked = counts.select(*keys, "_v", F.sum("_c").over(upto).alias("_cum"),
-                           F.sum("_c").over(whole).alias("_n"))
+    hot = (counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+           .where(F.col("_d") > split_distinct).select(*keys)
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    if hot.count() == 0:
+        upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.select(*keys, "_v", F.sum("_c").over(upto).alias("_cum"),
+                               F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
+    else:
+        probs_cut = [i / ranges for i in range(1, ranges)]
+        cuts = (join_measured(counts, hot, keys, "left_semi").groupBy(*keys)
+                .agg(F.percentile_approx("_v", probs_cut, 1000).alias("_cuts")))
+        r = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+        split = join_measured(counts, cuts, keys, "left").select(*keys, "_v", "_c", r.alias("_r"))
+        per_range = split.groupBy(*keys, "_r").agg(F.sum("_c").alias("_rc"))
+        before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+        offs = per_range.select(*keys, "_r", F.coalesce(F.sum("_rc").over(before), F.lit(0)).alias("_off"),
+                                F.sum("_rc").over(Window.partitionBy(*keys)).alias("_n"))
+        upto = (Window.partitionBy(*keys, "_r").orderBy("_v")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranked = (split.join(offs, on=keys + ["_r"], how="inner")
+                  .select(*keys, "_v", (F.col("_off") + F.sum("_c").over(upto)).alias("_cum"), "_n"))
     aggs, outs = [], []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("_n") - 1)

@@ -82,6 +82,20 @@ def test_group_quantiles_match_pandas(spark):
         assert abs(r["a"] - w[0.25]) < 1e-6 and abs(r["b"] - w[0.5]) < 1e-6 and abs(r["c"] - w[0.75]) < 1e-6
 
 
+def test_group_quantiles_split_hot_groups(spark):
+    """Force every group to be 'hot' so the range-split path runs; ranks stay exact."""
+    df = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    got = group_quantiles(df, "l_extendedprice", ["l_returnflag"], [0.0, 0.25, 0.5, 0.9, 1.0],
+                          ["a", "b", "c", "d", "e"], split_distinct=10, ranges=7).toPandas()
+    pdf = df.select("l_returnflag", "l_extendedprice").toPandas()
+    want = pdf.groupby("l_returnflag")["l_extendedprice"].quantile([0.0, 0.25, 0.5, 0.9, 1.0]).unstack()
+    assert len(got) == len(want)
+    for _, r in got.iterrows():
+        w = want.loc[r["l_returnflag"]]
+        for col, p in zip("abcde", [0.0, 0.25, 0.5, 0.9, 1.0]):
+            assert abs(r[col] - w[p]) < 1e-6, (col, r[col], w[p])
+
+
 def test_exact_quantiles_multi_match_pandas(spark):
     df = spark.read.parquet(f"{SF001}/lineitem.parquet")
     got = exact_quantiles_multi(df, {"l_quantity": [0.1, 0.5], "l_tax": [0.9]}, accuracy=50)

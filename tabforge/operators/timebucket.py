@@ -11,11 +11,12 @@ Scale notes
 * ``bucket_counts`` is a partial aggregation; its output has one row per
   observed (bucket, key), bounded by the time span x keys, not by rows.
 * ``rolling_mean`` windows over that small bucket table per key.
-* ``trailing_count`` never uses an unpartitioned window.  It splits the
-  count for an event at t into whole minutes (a sum over the small
-  per-minute table) plus two partial minutes, both answered by one window
-  partitioned by minute over the events and a copy of them shifted by the
-  span.  The largest task holds one minute of events (x2).
+* ``trailing_count`` never uses an unpartitioned window.  Rows collapse to
+  distinct timestamps first; the count for a timestamp t is whole grains
+  (a sum over the small per-grain table) plus two partial grains, both
+  answered by one window partitioned by grain over the distinct
+  timestamps and a copy shifted by the span.  The largest task holds the
+  distinct timestamps of one grain (x2), however many rows share them.
 """
 
 from __future__ import annotations
@@ -76,45 +77,53 @@ def attach_bucket(df: DataFrame, labelled: DataFrame, ts: str, key: str,
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(fill))))
 
 
-def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, grain_minutes: int = 1,
+def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, grain_seconds: int = 60,
                    out_col: str = "count_trailing") -> DataFrame:
     """For every row, the rows with a timestamp in ``(t - span, t]``
     over the whole table (tied timestamps all count, C16).
 
-    ``span_minutes`` must be a multiple of ``grain_minutes``; the grain
-    bounds the largest window partition.
+    1. Rows collapse to distinct timestamps with a weight (partial
+       aggregate): any number of rows sharing a timestamp is one row.
+    2. Whole grains before t come from the per-grain totals, spread to the
+       grains that follow by ``explode(sequence)`` (a table bounded by the
+       time span, not the data).
+    3. The two partial grains come from ONE window partitioned by grain
+       over the distinct timestamps and a copy shifted by the span: running
+       weight of own timestamps up to t minus shifted ones up to t.
+    4. The per-timestamp counts join back onto the rows by timestamp.
+
+    ``span_minutes * 60`` must be a multiple of ``grain_seconds``; the grain
+    bounds the largest window partition (distinct timestamps of one grain).
     """
-    if span_minutes % grain_minutes:
+    span_s = span_minutes * 60
+    if span_s % grain_seconds:
         raise ValueError("span must be a multiple of the grain")
-    grain = grain_minutes * MICROS_PER_MINUTE
-    span = span_minutes * MICROS_PER_MINUTE
-    steps = span_minutes // grain_minutes
-
-    base = (df.where(F.col(ts).isNotNull())
-            .withColumn("_t", epoch_micros(ts))
-            .withColumn("_g", F.floor(F.col("_t") / F.lit(grain))))
-    # whole grains: rows per grain, spread to the `steps` grains that follow
-    per_grain = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    grain = grain_seconds * 1_000_000
+    span = span_s * 1_000_000
+    steps = span_s // grain_seconds
+
+    per_ts = (df.where(F.col(ts).isNotNull()).groupBy(epoch_micros(ts).alias("_t"))
+              .agg(F.count(F.lit(1)).alias("_w"))
+              .withColumn("_g", F.floor(F.col("_t") / F.lit(grain))))
+    per_grain = per_ts.groupBy("_g").agg(F.sum("_w").alias("_n"))
     before = (per_grain
-              .select(F.explode(F.sequence(F.col("_g") + 1, F.col("_g") + steps)).alias("_g"),
-                      F.col("_n"))
+              .select(F.explode(F.sequence(F.col("_g") + 1, F.col("_g") + steps)).alias("_g"), F.col("_n"))
               .groupBy("_g").agg(F.sum("_n").alias("_full")))
-    # partial grains: own rows up to t, minus rows shifted by the span up to t
-    own = base.select(F.lit(True).alias("_own"), "_t", "_g", *[c for c in df.columns])
-    shifted = base.select(F.lit(False).alias("_own"), (F.col("_t") + span).alias("_t"),
-                          F.floor((F.col("_t") + span) / F.lit(grain)).alias("_g"),
-                          *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    own = per_ts.select(F.lit(True).alias("_own"), "_t", "_g", "_w")
+    shifted = per_ts.select(F.lit(False).alias("_own"), (F.col("_t") + span).alias("_t"),
+                            F.floor((F.col("_t") + span) / F.lit(grain)).alias("_g"), "_w")
     w = (Window.partitionBy("_g").orderBy("_t")
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = (own.unionByName(shifted)
-              .select("*",
-                      F.sum(F.col("_own").cast("long")).over(w).alias("_upto"),
-                      F.sum((~F.col("_own")).cast("long")).over(w).alias("_gone"))
+              .select("_own", "_t", "_g",
+                      F.sum(F.when(F.col("_own"), F.col("_w")).otherwise(0)).over(w).alias("_upto"),
+                      F.sum(F.when(~F.col("_own"), F.col("_w")).otherwise(0)).over(w).alias("_gone"))
               .where(F.col("_own")))
-    return (join_measured(ranked, before, "_g", "left")
-            .select(*[F.col(c) for c in df.columns],
-                    (F.coalesce(F.col("_full"), F.lit(0)) + F.col("_upto") - F.col("_gone"))
-                    .alias(out_col)))
+    counts = (join_measured(ranked, before, "_g", "left")
+              .select("_t", (F.coalesce(F.col("_full"), F.lit(0)) + F.col("_upto") - F.col("_gone"))
+                      .alias(out_col)))
+    rows = df.withColumn("_t", epoch_micros(ts))
+    return join_measured(rows, counts, "_t", "left").drop("_t")
 
 
 def hourly_ntz(ts: str) -> "F.Column":

@@ -85,7 +85,9 @@ def test_trailing_count_brute_force(spark):
     ts = pd.to_datetime(base + secs.astype("timedelta64[s]"))
     pdf = pd.DataFrame({"id": range(len(ts)), "ts": ts})
     df = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = {r["id"]: r["c"] for r in trailing_count(df, "ts", 60, 1, "c").collect()}
+    got = {r["id"]: r["c"] for r in trailing_count(df, "ts", 60, 60, "c").collect()}
+    got_fine = {r["id"]: r["c"] for r in trailing_count(df, "ts", 60, 15, "c").collect()}
+    assert got == got_fine
     t = pdf["ts"].values
     for i, ti in enumerate(t):
         want = int(((t > ti - np.timedelta64(60, "m")) & (t <= ti)).sum())

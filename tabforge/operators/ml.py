@@ -73,6 +73,19 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", impute:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def fit_features(train: DataFrame, cols: Sequence[str], out: str = "features", impute: bool = True):
+    """Imputer (means of the training split) + assembler as one fitted
+    pipeline, to apply unchanged to every split."""
+    stages = []
+    cols = list(cols)
+    if impute:
+        filled = [f"{c}__f" for c in cols]
+        stages.append(Imputer(inputCols=cols, outputCols=filled, strategy="mean"))
+        cols = filled
+    stages.append(VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep"))
+    return Pipeline(stages=stages).fit(train)
+
+
 def kmeans_fit(points: DataFrame, cols: Sequence[str], k: int = 20, seed: int = 1,
                max_iter: int = 20):
     """K-means on the given coordinate columns (k-means|| init)."""

@@ -124,9 +124,9 @@ def m08_gbt_regressor(spark, sf_dir):
     train, test, feats = trip_frame(T(spark, sf_dir))
     fit, hold = ml.split(train, "id", 0.2, seed=33)
     data = (fit.withColumn("is_valid", F.lit(False)).unionByName(hold.withColumn("is_valid", F.lit(True))))
-    data = ml.assemble(data, feats, impute=True)
-    model = ml.gbt_regressor(validation="is_valid", **ml.TRIP_GBM).fit(data)
-    scored = model.transform(ml.assemble(test, feats, impute=True))
+    prep = ml.fit_features(data, feats)            # train means, applied to test too
+    model = ml.gbt_regressor(validation="is_valid", **ml.TRIP_GBM).fit(prep.transform(data))
+    scored = model.transform(prep.transform(test))
     return scored.select("id", F.expm1("prediction").alias("trip_duration")).orderBy("id")
 
 

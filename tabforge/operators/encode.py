@@ -89,7 +89,7 @@ def target_mean(train: DataFrame, key: str, cols: Sequence[str], name_fmt: str =
     aggs = [F.avg(c).alias(name_fmt.format(col=c, key=key)) for c in cols]
     if min_count or count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name or "_n"))
-    stats = train.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    stats = train.groupBy(key).agg(*aggs).where(F.col(key).isNotNull())   # C3, after the aggregate
     if min_count:
         stats = stats.where(F.col(count_name or "_n") > min_count)
     if not count_name and min_count:

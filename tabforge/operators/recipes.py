@@ -92,7 +92,11 @@ def _stats_plan(df: DataFrame, recipes: Sequence[Recipe]):
     exprs = [agg_by_name(a, c).alias(tmp(c, a)) for c, a in plain]
     if len(merged) == 1:
         keys = list(merged[0][0])
-        combined = df.where(all_not_null(keys)).groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_n")]))
+        # a missing-key group holds exactly the missing-key rows: dropping it
+        # after the aggregate equals filtering first (C3), with each key
+        # expression evaluated once
+        combined = (df.groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_n")]))
+                    .where(all_not_null(keys)))
         gid = None
     else:
         combined = df.groupingSets([list(k) for k, _ in merged], *all_keys).agg(

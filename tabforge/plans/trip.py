@@ -369,9 +369,12 @@ def j03_join_fitted_stats(spark, sf_dir):
 
 def coord_stats(train: DataFrame, min_count: int | None = 100) -> DataFrame:
     keys = ["Hour", "pickup_dropoff_loc"]
-    stats = (train.where(F.col("Hour").isNotNull() & F.col("pickup_dropoff_loc").isNotNull())
-             .groupBy(*keys).agg(F.avg("avg_speed_h").alias("avg_speed_h_Hour_pickup_dropoff_loc"),
-                                 F.count("id").alias("cnt_Hour_pickup_dropoff_loc")))
+    # groups with a missing key hold exactly the rows with that missing key,
+    # so dropping them after the aggregate equals filtering rows first
+    # and evaluates the computed keys once
+    stats = (train.groupBy(*keys).agg(F.avg("avg_speed_h").alias("avg_speed_h_Hour_pickup_dropoff_loc"),
+                                      F.count("id").alias("cnt_Hour_pickup_dropoff_loc"))
+             .where(F.col("Hour").isNotNull() & F.col("pickup_dropoff_loc").isNotNull()))
     if min_count is not None:
         stats = stats.where(F.col("cnt_Hour_pickup_dropoff_loc") > min_count)
     return stats

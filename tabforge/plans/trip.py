@@ -247,9 +247,12 @@ def t01_parse_timestamp(spark, sf_dir):
     return trips(T(spark, sf_dir)).select("id", timefn.parse_ts(s).alias("pickup_parsed"))
 
 
-@query("T02_to_date", f"WITH {TRIPS_SQL} SELECT id, CAST(pickup_datetime AS DATE) AS pickup_date FROM trips")
+# Date results are compared as ISO 'yyyy-MM-dd' text on both sides, so the
+# check does not depend on how each engine's DATE type reaches the client.
+@query("T02_to_date", f"WITH {TRIPS_SQL} SELECT id, strftime(CAST(pickup_datetime AS DATE), '%Y-%m-%d') AS pickup_date FROM trips")
 def t02_to_date(spark, sf_dir):
-    return trips(T(spark, sf_dir)).select("id", timefn.to_date("pickup_datetime").alias("pickup_date"))
+    d = timefn.to_date("pickup_datetime")
+    return trips(T(spark, sf_dir)).select("id", F.date_format(d, "yyyy-MM-dd").alias("pickup_date"))
 
 
 @query("T03_month", f"WITH {TRIPS_SQL} SELECT id, CAST(month(pickup_datetime) AS INTEGER) AS Month FROM trips")
@@ -282,10 +285,12 @@ def t07_round_half_even(spark, sf_dir):
 
 
 @query("T08_parse_yyyymmdd", f"""WITH {TRIPS_SQL}
-SELECT id, CAST(strptime(strftime(pickup_datetime, '%Y%m%d'), '%Y%m%d') AS DATE) AS pickup_day FROM trips""")
+SELECT id, strftime(CAST(strptime(strftime(pickup_datetime, '%Y%m%d'), '%Y%m%d') AS DATE), '%Y-%m-%d') AS pickup_day
+FROM trips""")
 def t08_parse_yyyymmdd(spark, sf_dir):
     s = F.date_format("pickup_datetime", "yyyyMMdd")
-    return trips(T(spark, sf_dir)).select("id", timefn.parse_yyyymmdd(s).alias("pickup_day"))
+    d = timefn.parse_yyyymmdd(s)
+    return trips(T(spark, sf_dir)).select("id", F.date_format(d, "yyyy-MM-dd").alias("pickup_day"))
 
 
 def _days_sql():

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, profile
 from . import cover, trip
-from .common import R, T, finish, query
+from .common import TS, R, T, finish, query, ts_text
 
 
-@query("O01_sort_multi_key", "SELECT o_custkey, o_orderdate, o_orderkey FROM orders ORDER BY o_custkey, o_orderdate, o_orderkey")
+@query("O01_sort_multi_key", f"SELECT o_custkey, {TS('o_orderdate')} AS o_orderdate, o_orderkey FROM orders "
+       "ORDER BY o_custkey, orders.o_orderdate, o_orderkey")
 def o01_sort_multi_key(spark, sf_dir):
-    return T(spark, sf_dir).orders.select("o_custkey", "o_orderdate", "o_orderkey") \
-        .orderBy("o_custkey", "o_orderdate", "o_orderkey")
+    o = T(spark, sf_dir).orders
+    return (o.orderBy("o_custkey", "o_orderdate", "o_orderkey")
+            .select("o_custkey", ts_text(F.col("o_orderdate")).alias("o_orderdate"), "o_orderkey"))
 
 
 @query("O02_sort_desc", "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1 ORDER BY count DESC")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
-from .registry import R, finish, query, rnd  # noqa: F401  (re-exported for plan modules)
+from .registry import TS, R, finish, query, rnd, ts_text  # noqa: F401  (re-exported for plan modules)
 
 
 def T(spark: SparkSession, sf_dir: str) -> Tables:

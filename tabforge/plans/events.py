@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.timebucket import attach_bucket, bucket_counts, rolling_mean, trailing_count
-from .common import R, T, finish, query
+from .common import TS, R, T, finish, query, ts_text
 
 EV_SQL = """
 ev AS (SELECT event_id, ts, CAST(user_id % 20 AS INTEGER) AS cluster FROM events),
@@ -37,19 +37,19 @@ def labels(t, shift: int = -120) -> DataFrame:
     return rolling_mean(counts(t), "cluster", span_minutes=240, shift_minutes=shift)
 
 
-@query("A14_bucket_counts", f"WITH {EV_SQL} SELECT bucket, cluster, cnt FROM counts")
+@query("A14_bucket_counts", f"WITH {EV_SQL} SELECT {TS('bucket')} AS bucket, cluster, cnt FROM counts")
 def a14_bucket_counts(spark, sf_dir):
-    return counts(T(spark, sf_dir))
+    return counts(T(spark, sf_dir)).withColumn("bucket", ts_text(F.col("bucket")))
 
 
-@query("W05_rolling_mean", f"WITH {EV_SQL} SELECT cluster, bucket, {R('rolling_mean')} AS rolling_mean FROM rolled")
+@query("W05_rolling_mean", f"WITH {EV_SQL} SELECT cluster, {TS('bucket')} AS bucket, {R('rolling_mean')} AS rolling_mean FROM rolled")
 def w05_rolling_mean(spark, sf_dir):
-    return finish(labels(T(spark, sf_dir), shift=0))
+    return finish(labels(T(spark, sf_dir), shift=0)).withColumn("bucket", ts_text(F.col("bucket")))
 
 
-@query("W06_shifted_labels", f"WITH {EV_SQL} SELECT cluster, bucket, {R('rolling_mean')} AS rolling_mean FROM labels")
+@query("W06_shifted_labels", f"WITH {EV_SQL} SELECT cluster, {TS('bucket')} AS bucket, {R('rolling_mean')} AS rolling_mean FROM labels")
 def w06_shifted_labels(spark, sf_dir):
-    return finish(labels(T(spark, sf_dir)))
+    return finish(labels(T(spark, sf_dir))).withColumn("bucket", ts_text(F.col("bucket")))
 
 
 @query("J06_attach_bucket_counts", f"""WITH {EV_SQL},

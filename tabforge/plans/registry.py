@@ -53,6 +53,21 @@ def R(expr: str, decimals: int = DECIMALS) -> str:
     return f"(floor(({expr}) * 1e{decimals} + CAST({OFFSET} AS DOUBLE)) / 1e{decimals})"
 
 
+# Timestamps are compared as 'yyyy-MM-dd HH:mm:ss' text (the results here
+# have whole seconds), so the check does not depend on the time unit each
+# engine hands to the client.
+TS_FMT_SPARK = "yyyy-MM-dd HH:mm:ss"
+
+
+def ts_text(c: Column) -> Column:
+    return F.date_format(c, TS_FMT_SPARK)
+
+
+def TS(expr: str) -> str:
+    """SQL twin of ``ts_text``."""
+    return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
 def finish(df: DataFrame, decimals: int = DECIMALS, overrides: dict | None = None) -> DataFrame:
     """Round every double/float column of a query result with ``rnd``
     (``overrides`` gives other decimals per column, e.g. for variances)."""

@@ -18,7 +18,7 @@ from ..functions import geo, timefn
 from ..functions.contract import ratio
 from ..operators import clean, encode, ml
 from ..operators.joins import join_measured
-from .common import R, T, finish, query, rnd
+from .common import TS, R, T, finish, query, rnd, ts_text
 
 # The 18 extreme-weather days of the trip program (2016).
 WEATHER_EVENT_DAYS = ["20160110", "20160113", "20160117", "20160123",
@@ -241,10 +241,11 @@ def f15_speed(spark, sf_dir):
 
 
 @query("T01_parse_timestamp", f"""WITH {TRIPS_SQL}
-SELECT id, strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS pickup_parsed FROM trips""")
+SELECT id, {TS("strptime(strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')")} AS pickup_parsed
+FROM trips""")
 def t01_parse_timestamp(spark, sf_dir):
     s = F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss")
-    return trips(T(spark, sf_dir)).select("id", timefn.parse_ts(s).alias("pickup_parsed"))
+    return trips(T(spark, sf_dir)).select("id", ts_text(timefn.parse_ts(s)).alias("pickup_parsed"))
 
 
 # Date results are compared as ISO 'yyyy-MM-dd' text on both sides, so the
@@ -277,11 +278,11 @@ def t06_hour_of_week(spark, sf_dir):
 
 
 @query("T07_round_half_even", f"""WITH {TRIPS_SQL}
-SELECT id, make_timestamp(CAST(round_even(epoch_us(pickup_datetime) / 3600000000.0, 0) * 3600000000 AS BIGINT))
+SELECT id, {TS("make_timestamp(CAST(round_even(epoch_us(pickup_datetime) / 3600000000.0, 0) * 3600000000 AS BIGINT))")}
        AS pickup_datetime_group FROM trips""")
 def t07_round_half_even(spark, sf_dir):
     return trips(T(spark, sf_dir)).select(
-        "id", timefn.round_to_minutes("pickup_datetime", 60).alias("pickup_datetime_group"))
+        "id", ts_text(timefn.round_to_minutes("pickup_datetime", 60)).alias("pickup_datetime_group"))
 
 
 @query("T08_parse_yyyymmdd", f"""WITH {TRIPS_SQL}
@@ -425,19 +426,21 @@ def routes(t) -> DataFrame:
 
 @query("J05_left_join_side_table", f"""WITH {TRIPS_SQL}, {ROUTES_SQL}
 SELECT t.id, {R('r.total_distance')} AS total_distance, {R('r.total_travel_time')} AS total_travel_time,
-       r.number_of_steps FROM train t LEFT JOIN routes r ON t.id = r.id""")
+       CAST(r.number_of_steps AS DOUBLE) AS number_of_steps FROM train t LEFT JOIN routes r ON t.id = r.id""")
 def j05_left_join_side_table(spark, sf_dir):
     t = T(spark, sf_dir)
     train, _ = splits(t)
-    return finish(train.select("id").join(routes(t), on="id", how="left"))
+    out = train.select("id").join(routes(t), on="id", how="left")
+    # a nullable count is compared as double on both sides
+    return finish(out.withColumn("number_of_steps", F.col("number_of_steps").cast("double")))
 
 
 @query("U01_union_all", f"""WITH {TRIPS_SQL}
-SELECT id, 'train' AS split, trip_duration FROM train
-UNION ALL SELECT id, 'test' AS split, CAST(NULL AS BIGINT) AS trip_duration FROM test""")
+SELECT id, 'train' AS split, CAST(trip_duration AS DOUBLE) AS trip_duration FROM train
+UNION ALL SELECT id, 'test' AS split, CAST(NULL AS DOUBLE) AS trip_duration FROM test""")
 def u01_union_all(spark, sf_dir):
     train, test = splits(T(spark, sf_dir))
-    a = train.select("id", F.lit("train").alias("split"), "trip_duration")
+    a = train.select("id", F.lit("train").alias("split"), F.col("trip_duration").cast("double"))
     b = test.select("id", F.lit("test").alias("split"))
     return a.unionByName(b, allowMissingColumns=True)
 

@@ -19,7 +19,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
@@ -62,28 +62,43 @@ def sample(df: DataFrame, n: int, seed: int = 0, total: int | None = None) -> Da
 # --- clusters and rotations (M01, M02, M04) -----------------------------------------------
 
 
+class FeaturePrep:
+    """Mean imputation + vector assembly fitted on one split.
+
+    The means come from ONE aggregate (a row of scalars reaches the
+    driver); a column that is missing everywhere is filled with 0 instead
+    of failing, and the same fill is applied to every split.  Spark trees
+    cannot route missing values, hence the fill.
+    """
+
+    def __init__(self, cols: Sequence[str], fill: Mapping[str, float], out: str):
+        self.cols, self.fill, self.out = list(cols), dict(fill), out
+
+    @classmethod
+    def fit(cls, train: DataFrame, cols: Sequence[str], out: str = "features", impute: bool = True):
+        cols = list(cols)
+        fill = {}
+        if impute and cols:
+            row = train.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(c) for c in cols]).first()
+            fill = {c: (float(row[c]) if row[c] is not None else 0.0) for c in cols}
+        return cls(cols, fill, out)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        if self.fill:
+            df = df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(v))
+                                 for c, v in self.fill.items()})
+        return VectorAssembler(inputCols=self.cols, outputCol=self.out, handleInvalid="keep").transform(df)
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", impute: bool = False) -> DataFrame:
-    """Vector column from feature columns.  Spark trees cannot route
-    missing values, so ``impute`` fills them with the mean (plus the
-    caller may add indicator columns)."""
-    if impute:
-        filled = [f"{c}__f" for c in cols]
-        df = Imputer(inputCols=list(cols), outputCols=filled, strategy="mean").fit(df).transform(df)
-        cols = filled
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    """Vector column from feature columns, optionally mean-imputed with the
+    frame's own means (see ``FeaturePrep`` to reuse one split's means)."""
+    return FeaturePrep.fit(df, cols, out, impute).transform(df)
 
 
 def fit_features(train: DataFrame, cols: Sequence[str], out: str = "features", impute: bool = True):
-    """Imputer (means of the training split) + assembler as one fitted
-    pipeline, to apply unchanged to every split."""
-    stages = []
-    cols = list(cols)
-    if impute:
-        filled = [f"{c}__f" for c in cols]
-        stages.append(Imputer(inputCols=cols, outputCols=filled, strategy="mean"))
-        cols = filled
-    stages.append(VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep"))
-    return Pipeline(stages=stages).fit(train)
+    """Imputation fitted on the training split, to apply unchanged to every split."""
+    return FeaturePrep.fit(train, cols, out, impute)
 
 
 def kmeans_fit(points: DataFrame, cols: Sequence[str], k: int = 20, seed: int = 1,

@@ -44,13 +44,21 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def measured(small: DataFrame) -> tuple[DataFrame, bool]:
-    """Cache and count the small side; say whether it fits a broadcast."""
+    """Cache and count the small side; say whether it fits a broadcast.
+
+    A side that fits stays cached (it is under the broadcast threshold, so
+    the cache is small).  A side that does not fit is released again and
+    joined by shuffle, so no large table stays pinned in executor memory.
+    """
     limit = broadcast_limit(small)
     if limit < 0:
         return small, False
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    return small, rows * row_width(small) <= limit
+    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = cached.count()
+    if rows * row_width(cached) <= limit:
+        return cached, True
+    cached.unpersist(blocking=False)
+    return small, False
 
 
 def join_measured(large: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:

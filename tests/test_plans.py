@@ -114,3 +114,19 @@ def test_hot_key_last_and_tail(spark):
     assert last[0] == 2997.0
     tail = tail_stats(df, "k", ["o"], [3], ["v"]).where("k = 0").first()
     assert tail["v_last_3_mean"] == (2997.0 + 2994.0 + 2991.0) / 3
+
+
+def test_measured_side_too_big_is_not_broadcast(spark):
+    from tabforge.operators.joins import join_measured
+    big = spark.range(0, 20000).withColumnRenamed("id", "k")
+    small = spark.range(0, 20000).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")    # 1 KB: the side cannot fit
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1024")
+        out = join_measured(big, small, "k", "left")
+        plan = _plan(out)
+        assert "BroadcastHashJoin" not in plan and out.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

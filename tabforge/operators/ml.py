@@ -117,19 +117,19 @@ def assign_nearest(cols: Sequence[str], centers: Sequence[Sequence[float]]) -> C
 
     The centres (k x d numbers, bounded by k) become literals inside one
     expression, so assignment is a projection: no join, no shuffle.  The
-    k distances form one array and ``array_position(array_min)`` picks the
-    first minimum, which keeps the generated code small enough for
-    whole-stage codegen (a nested ``least`` of structs is not).
+    k (distance, index) pairs form one array whose ``array_min`` is the
+    nearest centre with the lowest index on ties; the array is built once,
+    which keeps the generated code within whole-stage codegen limits even
+    when the result is also a grouping key.
     """
-    dists = []
-    for c in centers:
+    pairs = []
+    for i, c in enumerate(centers):
         d = None
         for col_name, v in zip(cols, c):
             diff = F.col(col_name) - F.lit(float(v))
             d = diff * diff if d is None else d + diff * diff
-        dists.append(d)
-    arr = F.array(*dists)
-    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
+        pairs.append(F.struct(d.alias("d"), F.lit(i).alias("i")))
+    return F.array_min(F.array(*pairs)).getField("i").cast("int")
 
 
 def pca2_fit(points: DataFrame, x: str, y: str) -> dict[str, float]:

@@ -33,14 +33,23 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
 
 
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, Sequence[float]],
-                          accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns in three jobs in total."""
+                          accuracy: int = ACCURACY, extra_aggs: dict | None = None):
+    """Exact quantiles of several columns in three jobs in total.
+
+    ``extra_aggs`` (name -> aggregate column) ride along in the first job;
+    when given, ``(quantiles, extras)`` is returned instead of the
+    quantiles alone."""
+    extra_aggs = extra_aggs or {}
     cols = list(spec)
     margin = 3.0 / accuracy
     edges = {c: [e for p in spec[c] for e in (max(0.0, p - margin), min(1.0, p + margin))] for c in cols}
     x = {c: F.col(c).cast("double") for c in cols}
-    first = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.percentile_approx(x[c], edges[c], accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    first = df.agg(F.lit(0).alias("_z"), *[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.percentile_approx(x[c], edges[c], accuracy).alias(f"q{i}") for i, c in enumerate(cols)],
+                   *[e.alias(f"x_{k}") for k, e in extra_aggs.items()]).first()
+    extras = {k: first[f"x_{k}"] for k in extra_aggs}
+    if not cols:
+        return ({}, extras) if extra_aggs else {}
     brackets: dict[str, list] = {}
     for i, c in enumerate(cols):
         q, e = first[f"q{i}"] or [], edges[c]
@@ -90,7 +99,7 @@ def exact_quantiles_multi(df: DataFrame, spec: dict[str, Sequence[float]],
                 continue
             res.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
         out[c] = res
-    return out
+    return (out, extras) if extra_aggs else out
 
 
 # A group with more distinct values than this is split into value ranges.

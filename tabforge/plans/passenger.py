@@ -61,8 +61,7 @@ def splits(t) -> tuple[DataFrame, DataFrame]:
 def prepare(df: DataFrame) -> DataFrame:
     """The passenger cleaning and derivations, per split (own statistics)."""
     df = clean.fill_constant(df, {"Embarked": "S"})
-    df = clean.fill_median(df, ["Age"])
-    df = clean.fill_mean(df, ["Fare"])
+    df = clean.fill_stats(df, median=["Age"], mean=["Fare"])
     df = df.withColumn("Family", F.col("SibSp") + F.col("Parch") + 1)
     df = clean.assign_where(df, "isAlone", 1, F.col("Family") == 1, 0)   # inverted, as in the program
     df = df.withColumn("Fare", guarded_log("Fare"))

@@ -123,7 +123,9 @@ def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, grain_seconds
               .select("_t", (F.coalesce(F.col("_full"), F.lit(0)) + F.col("_upto") - F.col("_gone"))
                       .alias(out_col)))
     rows = df.withColumn("_t", epoch_micros(ts))
-    return join_measured(rows, counts, "_t", "left").drop("_t")
+    # one count per distinct timestamp grows with the data: a shuffle join
+    # (AQE splits a hot timestamp), never materialised just to be measured
+    return rows.join(counts, on="_t", how="left").drop("_t")
 
 
 def hourly_ntz(ts: str) -> "F.Column":

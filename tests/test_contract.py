@@ -134,3 +134,16 @@ def test_guarded_log(spark):
     from tabforge.functions.scalar import guarded_log
     df = spark.createDataFrame([(math.e,), (0.0,), (-1.0,), (None,)], "x double")
     assert [r[0] for r in df.select(guarded_log("x")).collect()] == [pytest.approx(1.0), 0.0, 0.0, 0.0]
+
+
+def test_fill_stats_median_and_mean_per_split(spark):
+    """Missing values filled with the split's own exact median and mean."""
+    import pandas as pd
+
+    from tabforge.operators.clean import fill_stats
+    pdf = pd.DataFrame({"id": range(7), "age": [1.0, None, 3.0, 10.0, None, 4.0, 8.0],
+                        "fare": [2.0, 4.0, None, 6.0, 8.0, None, 10.0]})
+    df = spark.createDataFrame(pdf)
+    got = {r["id"]: (r["age"], r["fare"]) for r in fill_stats(df, median=["age"], mean=["fare"]).collect()}
+    med, mean = pdf["age"].median(), pdf["fare"].mean()
+    assert got[1] == (med, 4.0) and got[2] == (3.0, mean) and got[4][0] == med and got[5][1] == mean

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,7 +97,7 @@ def only(df: DataFrame, **columns: str | Column) -> DataFrame:
 def batches_of_text(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch with at most ``limit`` bytes of text each (one
     row at least), so that per-range temporaries stay bounded."""
-    sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
         size = 0 if size != size or size is None else int(size)

@@ -28,8 +28,9 @@ from tabforge.llm.common import Scratch, batches_of_text, gapless, only, prepare
 
 MEMO = 500_000     # words remembered per worker; cleared when full
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-# Latin-1 letters, then marks: one token group for the letters, one for the marks.
-_SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+([.,!?;:%&*$#|]*)").fullmatch
+# Lower-case Latin-1 letters or common marks alone make one token group.
+_SIMPLE = re.compile("[a-zß-öø-ÿ]+|[.,!?;:%&*$#|]+").fullmatch
+_RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^\\sa-zªµºß-öø-ÿ]+").findall
 _words: dict[str, dict[str, bytes]] = {}
 _ends: dict[str, np.ndarray] = {}
 _loaded: dict[str, object] = {}
@@ -55,14 +56,13 @@ def _encode_words(path: str, words: list[str]) -> list[bytes]:
         vocab = t.get_vocab()
         _ends[path] = np.zeros(max(vocab.values()) + 1, bool)
         _ends[path][[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-    simple = [(w, 1 + bool(m[1])) for w in words if (m := _SIMPLE(w))]
+    simple = [w for w in words if _SIMPLE(w)]
     if simple:
-        ids = np.asarray(t.encode_batch_fast([" ".join(w for w, _ in simple)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.asarray(t.encode_batch_fast([" ".join(simple)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(_ends[path][ids]) + 1
-        last = np.cumsum([n for _, n in simple])
-        if len(ends) == last[-1] and ends[-1] == len(ids):
+        if len(ends) == len(simple) and ends[-1] == len(ids):
             data, at = ids.tobytes(), 0
-            for (w, _), end in zip(simple, (4 * ends[last - 1]).tolist(), strict=True):
+            for w, end in zip(simple, (4 * ends).tolist(), strict=True):
                 found[w], at = data[at:end], end
     rest = [w for w in words if w not in found]
     for w, e in zip(rest, t.encode_batch_fast(rest, add_special_tokens=False), strict=True):
@@ -70,6 +70,22 @@ def _encode_words(path: str, words: list[str]) -> list[bytes]:
     return [found[w] for w in words]
 
 
+def _cut(s: str) -> list[str] | None:
+    """Parts that are tokenized apart.  Latin-1 texts are folded as the
+    tokenizer folds them and cut into runs of letters and of other signs;
+    apostrophes and special tokens span such runs, so texts with those, or
+    with other scripts, are cut at white space only."""
+    if _ODD_SPACE.search(s):
+        return None
+    if "'" in s or "<|" in s:
+        return s.split()
+    try:
+        s.encode("latin-1")
+    except UnicodeEncodeError:
+        return s.split()
+    return _RUNS(s.lower())
+
+
 def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
@@ -77,7 +93,7 @@ def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     text's ids are those of its words in order; words are remembered.  Texts
     with unusual white space go to the library whole."""
     t, memo = _tokenizer(path), _words.setdefault(path, {})
-    split = [None if _ODD_SPACE.search(s) else s.split() for s in texts]
+    split = [_cut(s) for s in texts]
     new = list({w for words in split if words for w in words}.difference(memo))
     if len(memo) + len(new) > MEMO:
         memo.clear()

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tabforge.llm.common import Scratch, only
 from tabforge.llm.graph import components
 
-NATIVES = 1024          # vectors of a cell that one task holds at once
+NATIVES = 4096          # vectors of a cell that one task holds at once
 PIVOT_SHARE = 16        # a cell has about this times sqrt(n) vectors
 SAMPLE_PER_PIVOT = 8    # vectors drawn to choose a pivot from
 SLACK = 1e-9            # on bounds, far above rounding errors
@@ -139,7 +139,7 @@ class _Block:
         self.c, self.v, self.size = np.concatenate(self.ids), np.concatenate(self.vecs), np.concatenate(self.sizes)
         self.u, self.root = _unit(self.v), np.arange(len(self.c))
         self.links = np.zeros(len(self.c), np.int64)
-        hit = self._hits(self.u, self.v)
+        hit = np.concatenate([self._hits(self.u[i:i + 512], self.v[i:i + 512]) for i in range(0, len(self.c), 512)])
         np.fill_diagonal(hit, False)
         self.links += hit @ self.size
         new = hit.any(1)

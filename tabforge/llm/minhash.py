@@ -8,12 +8,13 @@ sets decide.  Two signatures with T shared pairs share one within the
 posted, and documents with fewer than T pairs that anyone shares post
 nothing.
 
-Copies (equal sets) are one class throughout.  Lists of near copies are
-worked off in rounds without writing out their pairs: first each class is
-checked against its best partner in each list, then again against its best
-partner outside its component, and at last against every partner that is
-still in another component (skip merging: pairs inside a component add
-nothing).  So a large group of near copies costs a few checks per member,
+Copies (equal sets) are one class throughout.  Pairs are never written
+out: first each class is checked against its best partner in each list,
+which joins nearly all that belongs together.  Then only lists whose classes
+are still in several components are merged again (skip merging), with the
+full sets at hand: every class outside the list's largest component is held
+against all others, and a link is reported only if it joins two
+components.  So a large group of near copies costs a few rows per member,
 and no link between different components is left out."""
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from tabforge.llm.shingles import mix, shingle_sets
 
 H = 48          # coordinates
 T = 26          # collisions asked for: at similarity 0.8 fewer come with probability 1e-5
-CHUNK = 1024    # classes of a list that are compared at once
+CHUNK = 1024    # classes of a list in one chunk
 
 _SEEDS = mix(np.arange(1, H + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = _SEEDS | np.uint64(1)
@@ -81,81 +82,91 @@ def _set_rows(k: int):
     return run
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Runs of equal (token, part): classes, components, sides, signatures."""
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of equal (token, part), the first two columns."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
         if held:
             last = held[-1]
-            same = last.column(0)[-1].as_py() == key[0, 0] and last.column(1)[-1].as_py() == key[1, 0]
-            if not same:
-                yield _list(held)
+            if last.column(0)[-1].as_py() != key[0, 0] or last.column(1)[-1].as_py() != key[1, 0]:
+                yield held
                 held = []
         start = 0
         for cut in cuts.tolist():
-            yield _list([*held, batch.slice(start, cut - start)])
+            yield [*held, batch.slice(start, cut - start)]
             held, start = [], cut
         held.append(batch.slice(start))
     if held:
-        yield _list(held)
-
-
-def _list(parts: list[pa.RecordBatch]) -> tuple:
-    c, comp, side = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (2, 3, 4))
-    sig = np.frombuffer(b"".join(b for p in parts for b in p.column(5).to_pylist()), np.uint32).reshape(-1, H)
-    return c, comp, side, sig
-
-
-def _collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(a), len(b)), np.int16)
-    for h in range(H):
-        out += a[:, h, None] == b[None, :, h]
-    return out
+        yield held
+
+
+def _column(parts: list[pa.RecordBatch], i: int) -> np.ndarray:
+    return np.concatenate([p.column(i).to_numpy() for p in parts])
+
+
+def _best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each class with the one of its list that it collides with most, if
+    they collide often enough."""
+    left: list[np.ndarray] = []
+    right: list[np.ndarray] = []
+    held = 0
+    for parts in _lists(batches):
+        c = _column(parts, 2)
+        if len(c) < 2:
+            continue
+        sig = np.frombuffer(b"".join(b for p in parts for b in p.column(3).to_pylist()), np.uint32).reshape(-1, H)
+        for a in range(0, len(c), CHUNK):
+            one, own = sig[a:a + CHUNK], c[a:a + CHUNK]
+            n = np.zeros((len(one), len(one)), np.int16)
+            for h in range(H):
+                n += one[:, h, None] == one[None, :, h]
+            np.fill_diagonal(n, -1)
+            best = n.argmax(1)
+            i = np.flatnonzero(n[np.arange(len(best)), best] >= T)
+            left.append(own[i])
+            right.append(own[best[i]])
+            held += len(i)
+        if held >= 20_000:
+            yield _pairs(left, right)
+            left, right, held = [], [], 0
+    if held:
+        yield _pairs(left, right)
 
 
-def _candidates(every: bool):
-    """Candidate pairs of each list: the best partner of each class in
-    another component, or (``every``) all such partners."""
+def _missing_links(percent: int):
+    """Links between components of a list, a spanning forest of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: list[np.ndarray] = []
-        right: list[np.ndarray] = []
-        held = 0
-        for c, comp, side, sig in _lists(batches):
-            if len(c) < 2:
+        left: list[int] = []
+        right: list[int] = []
+        for parts in _lists(batches):
+            comp = _column(parts, 3)
+            if len(comp) < 2 or (comp == comp[0]).all():
                 continue
-            if len(c) == 2:
-                if comp[0] != comp[1] and (sig[0] == sig[1]).sum() >= T and (not every or side[0] == 2 or side[0] != side[1]):
-                    left.append(c[:1])
-                    right.append(c[1:])
-                    held += 1
-            elif (comp != comp[0]).any():
-                for a in range(0, len(c), CHUNK):
-                    if every:
-                        # Parts of a cut list: side 0 meets side 1; side 2 is a whole part.
-                        for b in range(a, len(c), CHUNK):
-                            n = _collisions(sig[a:a + CHUNK], sig[b:b + CHUNK])
-                            ok = (n >= T) & (comp[a:a + CHUNK, None] != comp[None, b:b + CHUNK])
-                            i, j = np.nonzero(ok & ((side[a:a + CHUNK, None] != side[None, b:b + CHUNK])
-                                                    | (side[a:a + CHUNK, None] == 2)))
-                            left.append(c[a + i])
-                            right.append(c[b + j])
-                            held += len(i)
-                    else:
-                        part = slice(a, a + CHUNK)
-                        n = _collisions(sig[part], sig[part])
-                        n[comp[part, None] == comp[None, part]] = -1
-                        best = n.argmax(1)
-                        i = np.flatnonzero(n[np.arange(len(best)), best] >= T)
-                        left.append(c[a + i])
-                        right.append(c[a + best[i]])
-                        held += len(i)
-            if held >= 20_000:
-                yield _pairs(left, right)
-                left, right, held = [], [], 0
-        if held:
-            yield _pairs(left, right)
+            c = _column(parts, 2)
+            sets = [np.frombuffer(b.as_buffer(), np.uint64) for p in parts for b in p.column(4)]
+            size = np.array([len(x) for x in sets])
+            start = np.r_[0, np.cumsum(size)[:-1]]
+            place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            names, at, many = np.unique(comp, return_inverse=True, return_counts=True)
+            mark = np.zeros(place.max() + 1, bool)
+            for x in np.flatnonzero(at != many.argmax()):
+                own = place[start[x]:start[x] + size[x]]
+                mark[own] = True
+                both = np.add.reduceat(mark[place], start, dtype=np.int64)
+                mark[own] = False
+                linked = (100 * both >= percent * (size + size[x] - both)) & (comp != comp[x])
+                for j in np.flatnonzero(linked):
+                    if comp[j] != comp[x]:
+                        left.append(c[x])
+                        right.append(c[j])
+                        comp[comp == comp[j]] = comp[x]
+            if len(left) >= 20_000:
+                yield _pairs([np.array(left)], [np.array(right)])
+                left, right = [], []
+        if left:
+            yield _pairs([np.array(left)], [np.array(right)])
     return run
 
 
@@ -200,20 +211,16 @@ def _postings(reps: DataFrame, scratch: Scratch) -> DataFrame:
                         "postings")
 
 
-def _deal(posts: DataFrame, every: bool, salt: int) -> DataFrame:
-    """Rows ``token, part, c, comp, side, sig`` dealt so that no task gets a
-    whole long list: its classes are cut in chunks; for ``every`` each pair
-    of chunks becomes a part."""
+def _deal(lists: DataFrame, every: bool, columns: list[str]) -> DataFrame:
+    """Rows dealt by list so that no task gets a whole long list: its classes
+    are cut in chunks.  For ``every`` two chunks meet in one part."""
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("c", F.lit(salt)), chunks).cast("int")
+    rows = lists.withColumn("chunks", chunks).withColumn("part", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
     if every:
-        other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-        rows = posts.withColumn("chunks", chunks).withColumn("mine", mine).withColumn("other", other) \
-            .withColumn("part", F.least("mine", "other") * F.col("chunks") + F.greatest("mine", "other")) \
-            .withColumn("side", F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1))
-    else:
-        rows = posts.withColumn("part", mine).withColumn("side", F.lit(2))
-    return rows.select("token", "part", "c", "comp", "side", "sig") \
+        partner = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: (F.col("chunks") == 1) | (o != F.col("part")))
+        rows = rows.withColumn("other", F.explode(partner)) \
+            .withColumn("part", F.least("part", "other") * F.col("chunks") + F.greatest("part", "other"))
+    return rows.select("token", "part", "c", *columns) \
         .repartition("token", "part").sortWithinPartitions("token", "part", "c")
 
 
@@ -242,43 +249,26 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
     wanted = posts.select("c").distinct()
     sets = scratch.save(docs.join(wanted, docs["id"] == wanted["c"]).groupBy("c").agg(F.first("text").alias("text"))
                         .mapInArrow(_set_rows(k), "c long, shingles binary"), "sets")
-    comp: DataFrame | None = None
-    tested: DataFrame | None = None
-    for salt, every in enumerate((False, False, True)):
-        if comp is None:
-            rows = posts.withColumn("comp", F.col("c"))
-        else:
-            rows = posts.join(comp.withColumnRenamed("node", "c"), "c", "left") \
-                .withColumn("comp", F.coalesce("component", "c"))
-            # A list whose classes are all in one component has nothing to add.
-            mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-            rows = rows.join(mixed, "token", "left_semi")
-        pairs = _deal(rows, every, salt).mapInArrow(_candidates(every), "a long, b long").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, "pairs")
-        if not pairs.head(1):
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a") \
-            .join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        links = both.mapInArrow(_verify(percent), "a long, b long")
-        if comp is not None:    # links between components, then their classes
-            at = comp.select("node", "component")
-            for end in ("a", "b"):
-                links = links.join(at.select(F.col("node").alias(end), F.col("component").alias(f"{end}_to")), end, "left") \
-                    .withColumn(end, F.coalesce(f"{end}_to", end)).drop(f"{end}_to")
-        found = scratch.save(components(links.select("a", "b"), scratch), "components")
-        if comp is None:
-            comp = found
-        else:
-            up = found.select(F.col("node").alias("component"), F.col("component").alias("root"))
-            moved = comp.join(up, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
-            alone = found.join(comp, "node", "left_anti").select("node", "component")
-            comp = scratch.save(moved.unionByName(alone), "components")
-    of_class = groups if comp is None else \
-        groups.join(comp.withColumnRenamed("node", "c"), "c", "left").withColumn("c", F.coalesce("component", "c")) \
-        .select("name", "c")
+    pairs = scratch.save(_deal(posts, False, ["sig"]).mapInArrow(_best_partners, "a long, b long").distinct(), "pairs")
+    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a") \
+        .join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    comp = scratch.save(components(both.mapInArrow(_verify(percent), "a long, b long"), scratch), "components")
+    rows = posts.drop("sig").join(comp.withColumnRenamed("node", "c"), "c", "left") \
+        .withColumn("comp", F.coalesce("component", "c")).select("token", "c", "n", "comp")
+    # A list whose classes are all in one component has nothing to add.
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    rows = rows.join(mixed, "token", "left_semi").join(sets, "c")
+    links = _deal(rows, True, ["comp", "shingles"]).mapInArrow(_missing_links(percent), "a long, b long")
+    at = comp.select("node", "component")
+    for end in ("a", "b"):      # links between classes become links between components
+        links = links.join(at.select(F.col("node").alias(end), F.col("component").alias(f"{end}_to")), end, "left") \
+            .withColumn(end, F.coalesce(f"{end}_to", end)).drop(f"{end}_to")
+    found = scratch.save(components(links.select("a", "b"), scratch), "components")
+    up = found.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    moved = comp.join(up, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    alone = found.join(comp, "node", "left_anti").select("node", "component")
+    of_class = groups.join(moved.unionByName(alone).withColumnRenamed("node", "c"), "c", "left") \
+        .select("name", F.coalesce("component", "c").alias("c"))
     out = feats.select("id", "n", "name").join(of_class, "name", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),

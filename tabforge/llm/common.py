@@ -3,6 +3,7 @@ worker set-up, gapless numbering without a global sort."""
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator, Sequence
@@ -46,6 +47,10 @@ class Scratch:
     def save(self, df: DataFrame, name: str) -> DataFrame:
         p = self.path(name)
         df.write.parquet(p)
+        # The table is cut off from its shuffles; without a collection on the
+        # driver their files would stay on the executors' disks.
+        gc.collect()
+        self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(p)
         out._scratch_path = p
         return out
@@ -83,6 +88,17 @@ def gapless(df: DataFrame, group: Sequence[str], spread: Sequence[str], out: str
             .drop("__bucket", "__place", "__start"))
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def join_ids(rows: DataFrame, ids: DataFrame, on: Column, row_bytes: int) -> DataFrame:
+    """Inner join of wide rows with a narrow id table.  The id table is
+    counted first: up to ``BROADCAST_BYTES`` (``row_bytes`` a row) it goes to
+    the wide rows, which then stay where they are; beyond, both are
+    shuffled."""
+    return rows.join(F.broadcast(ids) if ids.count() * row_bytes <= BROADCAST_BYTES else ids, on)
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n (null key: null)."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(n))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm import (bpe, ecoc, metric_join, minhash, packing, pii, sharding, token_cache, toxicity, winnow)
-from tabforge.llm.common import Scratch, crc_mod, partitions, prepare
+from tabforge.llm.common import Scratch, crc_mod, join_ids, partitions, prepare
 from tabforge.llm.oracle import ORACLE_SQL  # noqa: F401
 from tabforge.sources.tables import table
 
@@ -113,7 +113,7 @@ def toxic_rows(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to learn toxicity from: every label whose document is not held out."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), "toxic") \
         .where(crc_mod(F.col("label_id"), 5) != 0)
-    return docs.join(labels, docs["doc_id"] == labels["label_id"]).select("text", "toxic")
+    return join_ids(docs, labels, docs["doc_id"] == labels["label_id"], 16).select("text", "toxic")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

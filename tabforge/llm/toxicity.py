@@ -215,7 +215,7 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
         fit_rows: int = FIT_ROWS) -> Lexicon:
     """Learn from rows with a text and a 0/1 label.
 
-    Words are counted over all rows (each distinct text once).  What counts
+    Words are counted over all rows.  What counts
     for an entry are its distinct neighbours in toxic texts, so a toxic text
     with many near copies doesn't make its own words entries.  About
     ``fit_rows`` rows (all, if there are fewer), chosen by a hash of the
@@ -227,9 +227,7 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     prepare(spark)
     data = only(rows, text=text, y=label).where(F.col("text").isNotNull() & F.col("y").isin(0, 1)) \
         .select("text", F.col("y").cast("int").alias("y"))
-    once = data.withColumn("h", F.xxhash64("text")).groupBy("h", "y").agg(F.first("text").alias("text")) \
-        .select("text", "y", "h")
-    contexts = once.select("text", "y").mapInArrow(_word_counts, "w string, context long, n long") \
+    contexts = data.mapInArrow(_word_counts, "w string, context long, n long") \
         .groupBy("w", "context").agg(F.sum("n").alias("n"))
     words = contexts.groupBy("w").agg(
         F.sum(F.when(F.col("context") < 0, F.col("n")).otherwise(0)).alias("clean"),
@@ -237,7 +235,8 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     n = {r["y"]: r["count"] for r in data.groupBy("y").count().collect()}
     if not n.get(1) or not n.get(0):
         return Lexicon({}, tuple(fold(p) for p in exceptions))
-    words = Scratch(spark, "toxicity").save(words, "words")
+    scratch = Scratch(spark, "toxicity")
+    words = scratch.save(words, "words")
     # So many toxic contexts and no clean text that not one of all the words
     # would get there by chance.
     chance = n[1] / (n[0] + n[1])
@@ -247,14 +246,15 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     odds = {r["entry"]: math.log((r["bad"] + 0.5) / (n[1] + 1)) - math.log((r["clean"] + 0.5) / (n[0] + 1)) for r in top}
     chosen = _choose({r["entry"]: r["bad"] for r in top})
     share = sum(n.values())
-    part = once if share <= fit_rows else once.where(F.pmod(F.col("h"), F.lit(share)) < fit_rows)
+    part = data if share <= fit_rows else data.where(F.pmod(F.xxhash64("text"), F.lit(share)) < fit_rows)
+    part = scratch.save(part, "sample")
     weights = {e: odds[e] for e in chosen if odds[e] > 0}
     lexicon = Lexicon(weights, tuple(fold(p) for p in exceptions))
-    pairs = part.select("text", "y").mapInArrow(_contexts(lexicon), "pair string, y int") \
+    pairs = part.mapInArrow(_contexts(lexicon), "pair string, y int") \
         .groupBy("pair").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n")) \
         .where((F.col("bad") == 0) & (F.col("n") >= CONTEXT_DOCS)).orderBy(F.desc("n"), "pair").limit(CANDIDATES).collect()
     lexicon = Lexicon(weights, (*lexicon.exceptions, *(r["pair"] for r in pairs)))
-    x = part.select("text", "y").mapInArrow(_feature_rows(lexicon), "total double, density double, y int") \
+    x = part.mapInArrow(_feature_rows(lexicon), "total double, density double, y int") \
         .groupBy("total", "density", "y").count().collect()
     if not x:
         return lexicon

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, only
+from tabforge.llm.common import Scratch, join_ids, only
 from tabforge.llm.graph import components
 from tabforge.llm.shingles import mix, shingle_sets
 
@@ -246,8 +246,9 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
     reps = scratch.save(feats.select("id", "name", "sig").join(groups, "name").where("id = c")
                         .groupBy("c").agg(F.first("sig").alias("sig")), "classes")
     posts = _postings(reps, scratch)
-    wanted = posts.select("c").distinct()
-    sets = scratch.save(docs.join(wanted, docs["id"] == wanted["c"]).groupBy("c").agg(F.first("text").alias("text"))
+    scratch.drop(reps)
+    wanted = scratch.save(posts.select("c").distinct(), "wanted")
+    sets = scratch.save(join_ids(docs, wanted, docs["id"] == wanted["c"], 16).groupBy("c").agg(F.first("text").alias("text"))
                         .mapInArrow(_set_rows(k), "c long, shingles binary"), "sets")
     pairs = scratch.save(_deal(posts, False, ["sig"]).mapInArrow(_best_partners, "a long, b long").distinct(), "pairs")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a") \

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import euclid, indicator_sum, smoothed_ratio
 from ..operators import encode
+from ..operators.pairs import column_arithmetic, to_sql
 from .common import R, T, finish, query, rnd
 
 H, V = "Horizontal_Distance_To_Hydrology", "Vertical_Distance_To_Hydrology"
@@ -59,73 +59,50 @@ def train_split(t) -> DataFrame:
     return cover(t).where(~F.col("is_test")).drop("is_test")
 
 
+# The names of the derived columns and what they are made of.
+SOIL_SUMS = [
+    ("Soil_Type12_32", "sum", ("Soil_Type32", "Soil_Type12")),
+    ("Soil_Type23_22_32_33", "sum", ("Soil_Type23", "Soil_Type22", "Soil_Type32", "Soil_Type33")),
+]
+DISTANCES = [
+    ("HF1", "sum", (H, FP)), ("HF2", "absolute difference", (H, FP)),
+    ("HR1", "absolute sum", (H, RD)), ("HR2", "absolute difference", (H, RD)),
+    ("FR1", "absolute sum", (FP, RD)), ("FR2", "absolute difference", (FP, RD)),
+    ("slope_hyd", "norm", (H, V)),
+    ("Mean_Amenities", "mean", (FP, H, RD)), ("Mean_Fire_Hyd1", "mean", (FP, H)), ("Mean_Fire_Hyd2", "mean", (FP, RD)),
+    ("Neg_HorizontalHydrology_HorizontalFire", "difference", (H, FP)),
+    ("Neg_HorizontalHydrology_HorizontalRoadways", "difference", (H, RD)),
+    ("Neg_HorizontalFire_Points_HorizontalRoadways", "difference", (FP, RD)),
+    ("MeanNeg_Mean_HorizontalHydrology_HorizontalFire", "half difference", (H, FP)),
+    ("MeanNeg_HorizontalHydrology_HorizontalRoadways", "half difference", (H, RD)),
+    ("MeanNeg_HorizontalFire_Points_HorizontalRoadways", "half difference", (FP, RD)),
+]
+SHADES = [
+    ("Hillshade_mean", "mean", (H9, HN, H3)),
+    ("Shadiness_morn_noon", "ratio to next", (H9, HN)), ("Shadiness_noon_3pm", "ratio to next", (HN, H3)),
+    ("Shadiness_morn_3", "ratio to next", (H9, H3)),
+    ("Shadiness_morn_avg", "mean", (H9, HN)), ("Shadiness_afternoon", "mean", (HN, H3)),
+    ("Hillshade-9_Noon_diff", "difference", (H9, HN)), ("Hillshade-noon_3pm_diff", "difference", (HN, H3)),
+    ("Hillshade-9am_3pm_diff", "difference", (H9, H3)),
+]
+HEIGHTS = [("Elevation_Vertical", "sum", ("Elevation", V)), ("Neg_Elevation_Vertical", "difference", ("Elevation", V))]
+SPECS = [*SOIL_SUMS, *DISTANCES, *SHADES, *HEIGHTS]
+LOGGED_SPECS = [("Slope*Elevation", "product", ("Slope", "Elevation"))]     # with the logged elevation
+HYDROLOGY_WEIGHT = 0.2
+
+
 def cover_features(df: DataFrame) -> DataFrame:
-    """The 25 derived columns of the cover script, in statement order:
-    raw elevation for the first block, logged elevation afterwards, and
-    the vertical distance made absolute last."""
-    c = F.col
-    df = df.withColumns({
-        "Soil_Type12_32": indicator_sum(["Soil_Type32", "Soil_Type12"]),
-        "Soil_Type23_22_32_33": indicator_sum(["Soil_Type23", "Soil_Type22", "Soil_Type32", "Soil_Type33"]),
-        "HF1": c(H) + c(FP), "HF2": F.abs(c(H) - c(FP)),
-        "HR1": F.abs(c(H) + c(RD)), "HR2": F.abs(c(H) - c(RD)),
-        "FR1": F.abs(c(FP) + c(RD)), "FR2": F.abs(c(FP) - c(RD)),
-        "Elevation_Vertical": c("Elevation") + c(V),
-        "Neg_Elevation_Vertical": c("Elevation") - c(V),
-        "slope_hyd": euclid(H, V),
-        "Mean_Amenities": (c(FP) + c(H) + c(RD)) / 3,
-        "Mean_Fire_Hyd1": (c(FP) + c(H)) / 2,
-        "Mean_Fire_Hyd2": (c(FP) + c(RD)) / 2,
-        "Hillshade_mean": (c(H9) + c(HN) + c(H3)) / 3,
-    })
-    df = df.withColumn("Elevation", F.log1p("Elevation"))
-    df = df.withColumns({
-        "Shadiness_morn_noon": smoothed_ratio(H9, HN),
-        "Shadiness_noon_3pm": smoothed_ratio(HN, H3),
-        "Shadiness_morn_3": smoothed_ratio(H9, H3),
-        "Shadiness_morn_avg": (c(H9) + c(HN)) / 2,
-        "Shadiness_afternoon": (c(HN) + c(H3)) / 2,
-        "Hillshade-9_Noon_diff": c(H9) - c(HN),
-        "Hillshade-noon_3pm_diff": c(HN) - c(H3),
-        "Hillshade-9am_3pm_diff": c(H9) - c(H3),
-        "Slope*Elevation": c("Slope") * c("Elevation"),
-        "Neg_HorizontalHydrology_HorizontalFire": c(H) - c(FP),
-        "Neg_HorizontalHydrology_HorizontalRoadways": c(H) - c(RD),
-        "Neg_HorizontalFire_Points_HorizontalRoadways": c(FP) - c(RD),
-        "MeanNeg_Mean_HorizontalHydrology_HorizontalFire": (c(H) - c(FP)) / 2,
-        "MeanNeg_HorizontalHydrology_HorizontalRoadways": (c(H) - c(RD)) / 2,
-        "MeanNeg_HorizontalFire_Points_HorizontalRoadways": (c(FP) - c(RD)) / 2,
-    })
-    df = df.withColumn(V, F.abs(c(V)))
-    return df.withColumn("Neg_Elev_Hyd", c("Elevation") - c(H) * 0.2)
+    """the derived columns of the fixed tables, first
+    over the raw columns, then those that take the logged elevation."""
+    df = column_arithmetic(df, SPECS, {"Elevation": F.log1p("Elevation"), V: F.abs(V)})
+    df = column_arithmetic(df, LOGGED_SPECS)
+    return df.withColumn("Neg_Elev_Hyd", F.col("Elevation") - F.col(H) * HYDROLOGY_WEIGHT)
 
 
 FEAT_SQL = f"""{COVER_SQL},
-f1 AS (SELECT *, Soil_Type32 + Soil_Type12 AS Soil_Type12_32,
-         Soil_Type23 + Soil_Type22 + Soil_Type32 + Soil_Type33 AS Soil_Type23_22_32_33,
-         {H} + {FP} AS HF1, abs({H} - {FP}) AS HF2, abs({H} + {RD}) AS HR1, abs({H} - {RD}) AS HR2,
-         abs({FP} + {RD}) AS FR1, abs({FP} - {RD}) AS FR2,
-         Elevation + {V} AS Elevation_Vertical, Elevation - {V} AS Neg_Elevation_Vertical,
-         sqrt(CAST({H} AS DOUBLE) * {H} + CAST({V} AS DOUBLE) * {V}) AS slope_hyd,
-         ({FP} + {H} + {RD}) / 3 AS Mean_Amenities, ({FP} + {H}) / 2 AS Mean_Fire_Hyd1,
-         ({FP} + {RD}) / 2 AS Mean_Fire_Hyd2, ({H9} + {HN} + {H3}) / 3 AS Hillshade_mean
-       FROM ctrain),
-f2 AS (SELECT * REPLACE (ln(1 + Elevation) AS Elevation) FROM f1),
-f3 AS (SELECT * REPLACE (abs({V}) AS {V}),
-         CAST({H9} AS DOUBLE) / NULLIF({HN} + 1, 0) AS Shadiness_morn_noon,
-         CAST({HN} AS DOUBLE) / NULLIF({H3} + 1, 0) AS Shadiness_noon_3pm,
-         CAST({H9} AS DOUBLE) / NULLIF({H3} + 1, 0) AS Shadiness_morn_3,
-         ({H9} + {HN}) / 2 AS Shadiness_morn_avg, ({HN} + {H3}) / 2 AS Shadiness_afternoon,
-         {H9} - {HN} AS "Hillshade-9_Noon_diff", {HN} - {H3} AS "Hillshade-noon_3pm_diff",
-         {H9} - {H3} AS "Hillshade-9am_3pm_diff", Slope * Elevation AS "Slope*Elevation",
-         {H} - {FP} AS Neg_HorizontalHydrology_HorizontalFire,
-         {H} - {RD} AS Neg_HorizontalHydrology_HorizontalRoadways,
-         {FP} - {RD} AS Neg_HorizontalFire_Points_HorizontalRoadways,
-         ({H} - {FP}) / 2 AS MeanNeg_Mean_HorizontalHydrology_HorizontalFire,
-         ({H} - {RD}) / 2 AS MeanNeg_HorizontalHydrology_HorizontalRoadways,
-         ({FP} - {RD}) / 2 AS MeanNeg_HorizontalFire_Points_HorizontalRoadways,
-         Elevation - {H} * CAST(0.2 AS DOUBLE) AS Neg_Elev_Hyd
-       FROM f2)"""
+f1 AS (SELECT * REPLACE (ln(1 + Elevation) AS Elevation, abs({V}) AS {V}), {to_sql(SPECS)} FROM ctrain),
+f3 AS (SELECT *, {to_sql(LOGGED_SPECS)},
+         Elevation - {H} * CAST({HYDROLOGY_WEIGHT} AS DOUBLE) AS Neg_Elev_Hyd FROM f1)"""
 
 PAIR_COLS = ["HF1", "HF2", "HR1", "HR2", "FR1", "FR2", "Elevation_Vertical", "Neg_Elevation_Vertical",
              "Mean_Amenities", "Mean_Fire_Hyd1", "Mean_Fire_Hyd2", "Hillshade_mean", "Shadiness_morn_noon",

@@ -41,13 +41,12 @@ def _points4(t) -> DataFrame:
 
 @query("M03_sample")
 def m03_sample(spark, sf_dir):
-    return ml.sample(_points4(T(spark, sf_dir)), 500_000, seed=0)
+    return ml.sample(_points4(T(spark, sf_dir)), 0.5, seed=0)
 
 
 @query("M01_kmeans")
 def m01_kmeans(spark, sf_dir):
-    pts = ml.sample(_points4(T(spark, sf_dir)), 500_000, seed=0)
-    model = ml.kmeans_fit(pts, trip.POINT4, k=20, seed=1)
+    model = ml.kmeans_fit(_points4(T(spark, sf_dir)), trip.POINT4, k=20, seed=1)
     rows = [(i, *c) for i, c in enumerate(ml.centers_of(model))]
     return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in trip.POINT4))
 

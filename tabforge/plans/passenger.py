@@ -141,11 +141,17 @@ def vectorize(train: DataFrame, test: DataFrame):
             encode.dict_vectorize(test.select(*keep), cats))
 
 
+# The categories of the driver tables.
+SEXES, PORTS, PERSONS = ("female", "male"), ("C", "Q", "S"), ("child", "female", "male")
+
+
+def _flags_sql(column: str, values: tuple[str, ...], name: str) -> str:
+    return ", ".join(f"""CAST(coalesce({column} = '{v}', false) AS BIGINT) AS "{name}{v}\"""" for v in values)
+
+
 @query("E03_dict_vectorize", f"""WITH {PREP_SQL}
-PIVOT (SELECT PassengerId, Pclass, Family, {R('Fare')} AS Fare, isAlone, 'Embarked=' || Embarked AS c FROM tr_prep
-       UNION ALL
-       SELECT PassengerId, Pclass, Family, {R('Fare')} AS Fare, isAlone, 'Person=' || Person AS c FROM tr_prep)
-ON c USING count(*) GROUP BY PassengerId, Pclass, Family, Fare, isAlone""")
+SELECT PassengerId, Pclass, Family, {R('Fare')} AS Fare, isAlone,
+       {_flags_sql("Embarked", PORTS, "Embarked=")}, {_flags_sql("Person", PERSONS, "Person=")} FROM tr_prep""")
 def e03_dict_vectorize(spark, sf_dir):
     train, test = splits(T(spark, sf_dir))
     vt, _ = vectorize(prepare(train), prepare(test))
@@ -155,9 +161,7 @@ def e03_dict_vectorize(spark, sf_dir):
 
 
 @query("E01_one_hot_strings", f"""WITH {PASS_SQL}
-PIVOT (SELECT PassengerId, 'Sex_' || Sex AS c FROM ptrain
-       UNION ALL SELECT PassengerId, 'Embarked_' || Embarked AS c FROM ptrain WHERE Embarked IS NOT NULL)
-ON c USING count(*) GROUP BY PassengerId""")
+SELECT PassengerId, {_flags_sql("Sex", SEXES, "Sex_")}, {_flags_sql("Embarked", PORTS, "Embarked_")} FROM ptrain""")
 def e01_one_hot_strings(spark, sf_dir):
     train, _ = splits(T(spark, sf_dir))
     df = train.select("PassengerId", "Sex", "Embarked")

@@ -317,13 +317,12 @@ def _loc_flags_sql(src: str) -> str:
 
 
 @query("E02_one_hot_prefix", f"""WITH {TRIPS_SQL}, {CLUSTER_SQL}
-PIVOT (SELECT id, 'loc_' || pickup_dropoff_loc AS c FROM train_cl) ON c USING count(*) GROUP BY id""")
+SELECT id, {", ".join(f"CAST(pickup_dropoff_loc = {i} AS BIGINT) AS loc_{i}" for i in range(K))} FROM train_cl""")
 def e02_one_hot_prefix(spark, sf_dir):
     train, _ = with_clusters(T(spark, sf_dir))
-    cats = encode.fit_categories(train, ["pickup_dropoff_loc"])
-    cats = {"pickup_dropoff_loc": sorted(cats["pickup_dropoff_loc"], key=int)}
-    out = encode.one_hot(train.select("id", "pickup_dropoff_loc"), cats, prefix={"pickup_dropoff_loc": "loc"})
-    # only observed clusters get a column, as get_dummies; flags as bigint
+    # every cluster gets a column, so the schema does not hang on the rows
+    out = encode.one_hot(train.select("id", "pickup_dropoff_loc"), {"pickup_dropoff_loc": [str(i) for i in range(K)]},
+                         prefix={"pickup_dropoff_loc": "loc"})
     return out.select("id", *[F.col(c).cast("long") for c in out.columns if c != "id"])
 
 

@@ -41,13 +41,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only create a scratch folder
-    when the setting is absent, which happens in local tests.
+    A cluster must name a shared folder there.  Only a local session, where
+    all tasks are in this process, gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="tabforge-ckpt-")
         try:   # record it for later readers; some deployments reject runtime core confs
             spark.conf.set("spark.checkpoint.dir", current)

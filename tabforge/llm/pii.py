@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabforge.llm.common import only, prepare
+from tabforge.llm.common import frugal, only, prepare, slices
 
 ROUNDS = 8
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date", "secret")
@@ -32,7 +32,7 @@ _PATTERN = re.compile(r"""
 | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d))
 | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)
     |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
-| (?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))
+| (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))
 | (?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])
     |(?<=[=:"' ])(?<![A-Za-z0-9])(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,64}(?![A-Za-z0-9]))
 """, re.X)
@@ -245,10 +245,10 @@ class Pseudonyms:
             return s, found
 
         def swap(m: re.Match) -> str:
-            kind, value = m.lastgroup, m[0]
+            kind, value = next(k for k in KINDS if m[k] is not None), m[0]
             new = self.one(kind, value) if kind in self.kinds else None
-            if new is None:     # it only looks like one, but a shorter format may be in it
-                return value
+            if new is None:     # it only looks like one; a loose format may have taken in others
+                return value[:4] + _PATTERN.sub(swap, value[4:]) if kind == "iban" and value[4] == " " else value
             found.append(kind)
             return new
 
@@ -278,11 +278,12 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", keep: tuple[str,
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields),
                         *([f"`{counts}` map<string,int>"] if counts else [])])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if setting not in _made:
             _made[setting] = Pseudonyms(*setting)
         change = _made[setting].text
-        for batch in batches:
+        for batch in slices(batches):
             texts, maps = [], []
             for s in batch.column(at).to_pylist():
                 new, found = (None, []) if s is None else change(s)

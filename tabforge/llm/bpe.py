@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabforge.llm.common import only, prepare
+from tabforge.llm.common import frugal, only, prepare
 
 MEMO = 400_000     # chunks, pieces and pairs remembered per worker; each cleared when full
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -228,6 +228,7 @@ def _run(df: DataFrame, path: str, pattern: str, column: str, keep: tuple[str, .
     own = only(df, __in=column, **{k: k for k in keep})
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:]), declared])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for batch in batches:

@@ -3,10 +3,13 @@ worker set-up, gapless numbering without a global sort."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import gc
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -110,14 +113,38 @@ def only(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
-def batches_of_text(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch with at most ``limit`` bytes of text each (one
-    row at least), so that per-range temporaries stay bounded."""
+def frugal(run: Callable) -> Callable:
+    """Give freed memory back when a task's function ends: Python workers
+    live on, and an executor's limit counts what they still hold."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):      # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
+def batches_of_text(batch: pa.RecordBatch, column: int, limit: int = 1 << 20, rows: int = 256
+                    ) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch with at most ``limit`` bytes of text and
+    ``rows`` rows each (one row at least), so that per-range temporaries
+    stay bounded."""
     sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
         size = 0 if size != size or size is None else int(size)
-        if i > start and total + size > limit:
+        if i > start and (total + size > limit or i - start >= rows):
             yield start, i
             start, total = i, 0
         total += size

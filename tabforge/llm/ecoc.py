@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import batches_of_text, only, prepare
+from tabforge.llm.common import batches_of_text, frugal, only, prepare
 
 BUCKETS = 1 << 13      # hashed trigrams; bounds the model whatever the corpus
 SMOOTHING = 1e-6       # added to a trigram's share of a language
@@ -87,6 +87,7 @@ def _shares(column: pa.Array, rows: range) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counter(bits_of: dict[str, int]):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(bits_of), BUCKETS), np.int64)
         docs = np.zeros(len(bits_of), np.int64)
@@ -137,6 +138,7 @@ class Model:
 
 def _judge(model: Model, bits_of: dict[str, int]):
     """Per language and bit: training rows whose bit came out right."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = np.zeros(model.code.shape, np.int64)
         for batch in batches:
@@ -199,6 +201,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", judged: int = 2
 
 
 def _predictor(model: Model):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, only
+from tabforge.llm.common import Scratch, frugal, only
 from tabforge.llm.graph import components
 
 NATIVES = 4096          # vectors of a cell that one task holds at once
@@ -42,6 +42,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+@frugal
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest, length and doubles of each usable vector."""
     for batch in batches:
@@ -73,6 +74,7 @@ def _spread(sample: np.ndarray, n: int) -> np.ndarray:
 
 def _home(pivots: dict[int, np.ndarray]):
     """The cell of each vector, its distance to the pivot."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(1).to_numpy()
@@ -90,6 +92,7 @@ def _home(pivots: dict[int, np.ndarray]):
 def _visits(pivots: dict[int, np.ndarray], reach: dict[int, np.ndarray], r: float):
     """Each vector in its cell (``guest`` false) and in the later cells that
     the bounds can't exclude (``guest`` true)."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
@@ -195,6 +198,7 @@ def _join_cells(t: float):
     def out(found) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found], ["c", "links", "other"])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: _Block | None = None
         for batch in batches:

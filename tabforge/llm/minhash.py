@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, join_ids, only
+from tabforge.llm.common import Scratch, frugal, join_ids, only
 from tabforge.llm.graph import components
 from tabforge.llm.shingles import mix, shingle_sets
 
@@ -49,6 +49,7 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def _features(k: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, names, sigs = [], [], []
@@ -62,6 +63,7 @@ def _features(k: int):
     return run
 
 
+@frugal
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each signature's coordinate-value pairs as one number."""
     place = np.arange(H, dtype=np.int64) << 32
@@ -74,6 +76,7 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(k: int):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
@@ -106,6 +109,7 @@ def _column(parts: list[pa.RecordBatch], i: int) -> np.ndarray:
     return np.concatenate([p.column(i).to_numpy() for p in parts])
 
 
+@frugal
 def _best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each class with the one of its list that it collides with most, if
     they collide often enough."""
@@ -137,6 +141,7 @@ def _best_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _missing_links(percent: int):
     """Links between components of a list, a spanning forest of them."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[int] = []
         right: list[int] = []
@@ -179,6 +184,7 @@ def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
 
 def _verify(percent: int):
     """Keep pairs with 100 * intersection >= percent * union."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, batches_of_text, gapless, only, prepare
+from tabforge.llm.common import Scratch, batches_of_text, frugal, gapless, only, prepare
 
 MEMO = 500_000     # words remembered per worker; cleared when full
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -125,6 +125,7 @@ def pieces(df: DataFrame, path: str, capacity: int, end_id: int, text: str = "te
     end = np.asarray([end_id], "<u4").tobytes()
     names = [key, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in batches_of_text(batch, 0):
@@ -214,6 +215,7 @@ def pack(df: DataFrame, capacity: int, length: str = "length", keys: tuple[str,
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields),
                         "sequence_id long", "offset long"])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = steps.value
         at = (s[:, 0] << 40) + s[:, 1]

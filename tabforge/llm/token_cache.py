@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import batches_of_text, only, prepare
+from tabforge.llm.common import batches_of_text, frugal, only, prepare
 
 _loaded: dict[str, object] = {}
 
@@ -66,6 +66,7 @@ def stored(spark: SparkSession, cache: str) -> DataFrame:
 
 
 def _counter(path: str):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in batches_of_text(batch, 1, 1 << 18):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, only, prepare
+from tabforge.llm.common import Scratch, frugal, only, prepare, slices
 
 # Look-alikes and what they are read as.
 LOOKALIKES = {
@@ -135,6 +135,7 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.total * total + self.density * density)))), n
 
 
+@frugal
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Clean texts with each folded word, and each word of a toxic text with
     a digest of its two neighbours; a task adds up its own."""
@@ -147,7 +148,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     counts: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = _WORD.findall(fold(text))
             if label:
@@ -155,7 +156,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                for a, w, c in zip(["", *words], words, [*words[1:], ""], strict=False)})
             else:
                 counts.update((w, -1) for w in set(words))
-            if len(counts) > 300_000:
+            if len(counts) > 100_000:
                 yield flush()
     yield flush()
 
@@ -267,8 +268,9 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
 
 def _contexts(lexicon: Lexicon):
     """Per row, the pairs of words that a hit is part of, once each."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             pairs, labels = [], []
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 folded, got = fold(text), set()
@@ -287,8 +289,9 @@ def _contexts(lexicon: Lexicon):
 
 
 def _feature_rows(lexicon: Lexicon):
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             f = [lexicon.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _, _ in f], pa.float64()),
                                               pa.array([b for _, b, _ in f], pa.float64()), batch.column(1)],
@@ -307,8 +310,9 @@ def score(df: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str,
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:]),
                         "score double, predicted int, hits int"])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [lexicon.score(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([s for s, _ in made], pa.float64()),

@@ -40,6 +40,7 @@ class Encoder:
         import regex
 
         self.ranks, self.bytes = ranks, {r: t for t, r in ranks.items()}
+        self.decimal = {r: str(r) for r in self.bytes}
         self.split = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -213,7 +214,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep:
     ``decoded_sha256`` (the bytes decoded from the ids)."""
     def digest(enc: Encoder, s: str) -> dict:
         ids = enc.encode(s)
-        return {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+        return {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(",".join(map(enc.decimal.__getitem__, ids)).encode()).hexdigest(),
                 "decoded_sha256": hashlib.sha256(enc.decode(ids)).hexdigest()}
 
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])

@@ -1,4 +1,4 @@
-"""Exact quantiles without holding a column in one task.
+"""Exact quantiles without holding a column in one task or on the driver.
 
 ``percentile``/``median`` keep every distinct value of a group in one
 aggregation buffer; fine per low-cardinality group, not for a global
@@ -8,20 +8,20 @@ jobs whatever the number of columns and probabilities:
 1. one aggregate: the count and ``percentile_approx`` at ``p -/+ margin``
    for every target p (rank error of the sketch <= n / accuracy);
 2. one aggregate: how many values fall below each bracket;
-3. the distinct values inside the brackets with their counts (about
-   ``4 n / accuracy`` values per bracket, bounded by the accuracy) reach
-   the driver, which walks them to the exact order statistics.
+3. the values inside each bracket, collapsed to (value, count), get their
+   running count from a window per bracket, and a filter keeps the order
+   statistics wanted: two values per probability reach the driver.
 
 Interpolation is linear between neighbouring order statistics, as pandas
 does.  Should a bracket miss its rank (it cannot when the sketch keeps its
-guarantee), that probability falls back to Spark's exact ``percentile``.
+guarantee), the probability is taken again with a bracket ten times wider.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
@@ -33,139 +33,135 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
 
 
 def exact_quantiles_multi(df: DataFrame, spec: dict[str, Sequence[float]],
-                          accuracy: int = ACCURACY, extra_aggs: dict | None = None):
+                          accuracy: int = ACCURACY, extra_aggs: dict | None = None,
+                          margin: float | None = None):
     """Exact quantiles of several columns in three jobs in total.
 
     ``extra_aggs`` (name -> aggregate column) ride along in the first job;
     when given, ``(quantiles, extras)`` is returned instead of the
-    quantiles alone."""
+    quantiles alone.  ``margin`` is half the width of a bracket as a share
+    of the rows (by default three times the sketch's error)."""
     extra_aggs = extra_aggs or {}
     cols = list(spec)
-    margin = 3.0 / accuracy
+    margin = 3.0 / accuracy if margin is None else margin
     edges = {c: [e for p in spec[c] for e in (max(0.0, p - margin), min(1.0, p + margin))] for c in cols}
     x = {c: F.col(c).cast("double") for c in cols}
     first = df.agg(F.lit(0).alias("_z"), *[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
                    *[F.percentile_approx(x[c], edges[c], accuracy).alias(f"q{i}") for i, c in enumerate(cols)],
                    *[e.alias(f"x_{k}") for k, e in extra_aggs.items()]).first()
     extras = {k: first[f"x_{k}"] for k in extra_aggs}
-    if not cols:
-        return ({}, extras) if extra_aggs else {}
-    brackets: dict[str, list] = {}
+    targets = []        # (column, probability index, low edge, high edge, ranks)
     for i, c in enumerate(cols):
-        q, e = first[f"q{i}"] or [], edges[c]
-        brackets[c] = [((None if e[2 * j] == 0.0 else q[2 * j]), (None if e[2 * j + 1] == 1.0 else q[2 * j + 1]))
-                       for j in range(len(spec[c]))] if q else []
-    below_exprs, conds = [], []
-    for i, c in enumerate(cols):
-        cond = F.lit(False)
-        for j, (lo, hi) in enumerate(brackets[c]):
-            below_exprs.append((F.count_if(x[c] < lo) if lo is not None else F.lit(0)).alias(f"b{i}_{j}"))
-            cc = x[c].isNotNull()
-            if lo is not None:
-                cc = cc & (x[c] >= lo)
-            if hi is not None:
-                cc = cc & (x[c] <= hi)
-            cond = cond | cc
-        conds.append(F.when(cond, x[c]))
-    below = df.agg(*below_exprs).first() if below_exprs else None
-    # the bracket values of every column as (column index, value) pairs, one job
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("ci"), conds[i].alias("x"))
-                                         for i in range(len(cols))])).alias("e")).select("e.*")
-    inside: dict[int, list] = {i: [] for i in range(len(cols))}
-    for r in long.where(F.col("x").isNotNull()).groupBy("ci", "x").count().collect():
-        inside[r["ci"]].append((r["x"], r["count"]))
-    out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(cols):
-        n = first[f"n{i}"]
-        vals = sorted(inside[i])
-        res = []
-        for j, p in enumerate(spec[c]):
-            if n == 0:
-                res.append(None)
-                continue
-            pos = p * (n - 1)
-            lo_rank, hi_rank = int(pos), min(int(pos) + 1, n - 1)
-            lo, hi = brackets[c][j]
-            seen, picks = below[f"b{i}_{j}"], {}
-            for v, cnt in vals:
-                if (lo is not None and v < lo) or (hi is not None and v > hi):
-                    continue
-                for k in (lo_rank, hi_rank):
-                    if k not in picks and seen <= k < seen + cnt:
-                        picks[k] = v
-                seen += cnt
-            if lo_rank not in picks or hi_rank not in picks:
-                res.append(df.agg(F.percentile(x[c], p).alias("q")).first()["q"])
-                continue
-            res.append(picks[lo_rank] + (picks[hi_rank] - picks[lo_rank]) * (pos - lo_rank))
-        out[c] = res
+        n, q, e = first[f"n{i}"], first[f"q{i}"] or [], edges[c]
+        for j, p in enumerate(spec[c] if n else []):
+            lo_rank = int(p * (n - 1))
+            targets.append((c, j, None if e[2 * j] == 0.0 else q[2 * j],
+                            None if e[2 * j + 1] == 1.0 else q[2 * j + 1], (lo_rank, min(lo_rank + 1, n - 1))))
+    picks = _order_statistics(df, x, targets) if targets else {}
+    out: dict[str, list[float | None]] = {c: [None] * len(spec[c]) for c in cols}
+    missed: dict[str, list[int]] = {}
+    for t, (c, j, _, _, (a, b)) in enumerate(targets):
+        if (t, a) in picks and (t, b) in picks:
+            pos = spec[c][j] * (first[f"n{cols.index(c)}"] - 1)
+            out[c][j] = picks[t, a] + (picks[t, b] - picks[t, a]) * (pos - a)
+        else:
+            missed.setdefault(c, []).append(j)
+    if missed:
+        again = exact_quantiles_multi(df, {c: [spec[c][j] for j in js] for c, js in missed.items()},
+                                      accuracy, margin=10 * margin)
+        for c, js in missed.items():
+            for j, v in zip(js, again[c]):
+                out[c][j] = v
     return (out, extras) if extra_aggs else out
 
 
-# A group with more distinct values than this is split into value ranges.
-SPLIT_DISTINCT = 50_000
-RANGES = 64
+def _order_statistics(df: DataFrame, x: dict[str, Column], targets: Sequence[tuple]) -> dict:
+    """``(target, rank) -> value`` for the ranks inside their brackets."""
+    below = df.agg(*[(F.count_if(x[c] < lo) if lo is not None else F.lit(0)).alias(f"b{t}")
+                     for t, (c, _, lo, _, _) in enumerate(targets)]).first()
+    inside, wanted = [], F.lit(False)
+    for t, (c, _, lo, hi, ranks) in enumerate(targets):
+        cond = x[c].isNotNull()
+        if lo is not None:
+            cond = cond & (x[c] >= lo)
+        if hi is not None:
+            cond = cond & (x[c] <= hi)
+        inside.append(F.struct(F.lit(t).alias("t"), F.when(cond, x[c]).alias("x")))
+        for k in sorted(set(ranks)):
+            k -= below[f"b{t}"]
+            wanted = wanted | ((F.col("t") == t) & (F.col("upto") > k) & (F.col("upto") - F.col("c") <= k))
+    w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (df.select(F.explode(F.array(*inside)).alias("e")).select("e.*").where(F.col("x").isNotNull())
+            .groupBy("t", "x").agg(F.count(F.lit(1)).alias("c"))
+            .withColumn("upto", F.sum("c").over(w)).where(wanted).collect())
+    picks = {}
+    for r in rows:
+        start = below[f"b{r['t']}"] + r["upto"] - r["c"]
+        for k in targets[r["t"]][4]:
+            if start <= k < start + r["c"]:
+                picks[r["t"], k] = r["x"]
+    return picks
+
+
+def _range_of(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
+    """The number of cut points below ``value``, as a balanced tree of tests."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(value <= cuts[mid], _range_of(value, cuts[:mid], first)) \
+        .otherwise(_range_of(value, cuts[mid + 1:], first + mid + 1))
 
 
 def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequence[float],
-                    names: Sequence[str], split_distinct: int = SPLIT_DISTINCT,
-                    ranges: int = RANGES) -> DataFrame:
+                    names: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Exact per-group quantiles (linear interpolation) as a DataFrame.
 
-    1. Rows collapse to (keys, value, count) in a partial aggregate, so a
+    1. One sketch over the column gives the cut points of ``ranges`` value
+       ranges with about equal numbers of rows (default: as many as there
+       are shuffle partitions, so a range keeps its size as data and
+       cluster grow).
+    2. Rows collapse to (keys, value, count) in a partial aggregate, so a
        group costs its number of *distinct* values, not its rows.
-    2. Groups with more than ``split_distinct`` distinct values are hot:
-       for those only, ``ranges - 1`` cut points from a per-group sketch
-       split the values into ranges (a small table, one row per hot group,
-       measured before it is broadcast).  Every other group is one range.
-    3. Per (group, range) value totals give each range its offset within
-       the group (a window over at most ``ranges`` rows per group); a window
-       partitioned by (group, range) and ordered by value adds the running
-       count inside the range.  A hot group is thus sorted by ``ranges``
-       tasks, never by one; the cut points only balance the work, the
-       ranks stay exact.
-    4. One aggregate picks the order statistics around each target rank.
+    3. Per (group, range) totals give each range its offset within the
+       group (a window over at most ``ranges`` rows per group); only the
+       ranges that hold a wanted rank are kept.
+    4. Those join back, and a window partitioned by (group, range) adds the
+       running count.  However many rows a group has, a window task holds
+       one range of it; the cut points only balance the work, the ranks
+       stay exact.
 
     Groups with a missing key are dropped (C3).
     """
-    from pyspark import StorageLevel
-    from pyspark.sql import Window
-
-    from .joins import join_measured
-
     keys = list(keys)
     cond = F.col(column).isNotNull()
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    counts = (df.where(cond).groupBy(*keys, F.col(column).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    hot = (counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-           .where(F.col("_d") > split_distinct).select(*keys)
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    if hot.count() == 0:
-        upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = counts.select(*keys, "_v", F.sum("_c").over(upto).alias("_cum"),
-                               F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    else:
-        probs_cut = [i / ranges for i in range(1, ranges)]
-        cuts = (join_measured(counts, hot, keys, "left_semi").groupBy(*keys)
-                .agg(F.percentile_approx("_v", probs_cut, 1000).alias("_cuts")))
-        r = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-        split = join_measured(counts, cuts, keys, "left").select(*keys, "_v", "_c", r.alias("_r"))
-        per_range = split.groupBy(*keys, "_r").agg(F.sum("_c").alias("_rc"))
-        before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-        offs = per_range.select(*keys, "_r", F.coalesce(F.sum("_rc").over(before), F.lit(0)).alias("_off"),
-                                F.sum("_rc").over(Window.partitionBy(*keys)).alias("_n"))
-        upto = (Window.partitionBy(*keys, "_r").orderBy("_v")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranked = (split.join(offs, on=keys + ["_r"], how="inner")
-                  .select(*keys, "_v", (F.col("_off") + F.sum("_c").over(upto)).alias("_cum"), "_n"))
-    aggs, outs = [], []
-    for i, p in enumerate(probs):
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.col(column).cast("double")
+    cuts = []
+    if ranges > 1:
+        sketch = df.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+        cuts = sorted(set(sketch or []))
+    counts = (df.where(cond).groupBy(*keys, value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_r", _range_of(F.col("_v"), cuts)))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (counts.groupBy(*keys, "_r").agg(F.sum("_c").alias("_rc"))
+            .select(*keys, "_r", "_rc", F.coalesce(F.sum("_rc").over(before), F.lit(0)).alias("_off"),
+                    F.sum("_rc").over(group).alias("_n")))
+    ranks, holds = [], F.lit(False)
+    for p in probs:
         pos = F.lit(p) * (F.col("_n") - 1)
         lo = F.floor(pos)
         hi = F.least(lo + 1, F.col("_n") - 1)
+        ranks.append((pos, lo, hi))
+        for k in (lo, hi):
+            holds = holds | ((F.col("_off") <= k) & (k < F.col("_off") + F.col("_rc")))
+    upto = Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counts.join(offs.where(holds).drop("_rc"), on=[*keys, "_r"], how="inner")
+              .select(*keys, "_v", (F.col("_off") + F.sum("_c").over(upto)).alias("_cum"), "_n"))
+    aggs, outs = [], []
+    for i, (pos, lo, hi) in enumerate(ranks):
         aggs += [F.min(F.when(F.col("_cum") > lo, F.col("_v"))).alias(f"_lo{i}"),
                  F.min(F.when(F.col("_cum") > hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.first(pos - lo).alias(f"_f{i}")]

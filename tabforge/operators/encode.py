@@ -100,30 +100,18 @@ def target_mean(train: DataFrame, key: str, cols: Sequence[str], name_fmt: str =
 def apply_target_means(frames: Sequence[DataFrame], train: DataFrame, keys: Sequence[str],
                        cols: Sequence[str], name_fmt: str = "{col}_gby_{key}") -> list[DataFrame]:
     """E06 + J03 for several keys at once: the per-key means of all keys
-    come from ONE grouping-sets pass over the training split, measured
+    come from ONE grouping-sets pass over the training split, written
     once, and each key's slice is left-joined (broadcast when it fits)."""
-    from .joins import measured
-    from .recipes import _stats_plan, stat_name
+    from .recipes import stat_name, stored_stats
     recipes = [([k], [(c, "mean") for c in cols]) for k in keys]
-    combined, parts = _stats_plan(train, recipes)
-    _, fits = measured(combined)
     out = list(frames)
-    for (key,), part in parts:
+    for (key,), part in stored_stats(train, recipes):
         part = part.select(key, *[F.col(stat_name([key], "mean", c)).alias(name_fmt.format(col=c, key=key))
                                   for c in cols])
-        side = F.broadcast(part) if fits else part
-        out = [f.join(side, on=key, how="left") for f in out]
+        out = [f.join(part, on=key, how="left") for f in out]
     return out
 
 
-def apply_target_mean(frames: Sequence[DataFrame], stats: DataFrame, key: str) -> list[DataFrame]:
-    """Left-join the fitted statistics onto every split."""
-    from .joins import measured
-    stats, fits = measured(stats)
-    side = F.broadcast(stats) if fits else stats
-    return [f.join(side, on=key, how="left") for f in frames]
-
-
 def draw_offsets(copies: int, ranges: Mapping[str, tuple[int, int]], seed: int) -> list[dict[str, int]]:
     """E07 draw: one integer offset per copy *and column*, ``low <= o < high``
     (numpy ``randint`` semantics), seeded so a run can be repeated."""

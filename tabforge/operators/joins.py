@@ -2,37 +2,46 @@
 
 Statistics frames (one row per key combination), fitted encodings and
 bucket labels are usually tiny, but their size depends on the data, so
-they are never broadcast on faith.  ``join_measured`` materialises the
-small side once (it has to be computed anyway), measures its actual row
-count, and broadcasts it only when ``rows x estimated row width`` is under
-the session's ``spark.sql.autoBroadcastJoinThreshold``; otherwise it falls
-back to a shuffle join (sort-merge with AQE skew splitting).
+they are never broadcast on faith.  ``join_measured`` writes the small side
+once to the shared folder (it has to be computed anyway), measures what was
+written, and broadcasts it only when that is under the session's
+``spark.sql.autoBroadcastJoinThreshold``; otherwise it falls back to a
+shuffle join (sort-merge with AQE skew splitting).
 
 Doing the measurement *before* planning the join matters at scale: left
 to AQE alone, the large side's shuffle stage runs concurrently with the
 small side's aggregation, so the fact table is shuffled once before AQE
-switches to a broadcast join.  The cached small side is an ordinary
-cache: if an executor holding it is lost it is recomputed from lineage.
+switches to a broadcast join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
           T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
 
 
 def row_width(df: DataFrame) -> int:
-    """Rough bytes per row in a broadcast hash relation (strings ~ 32 B)."""
+    """Rough bytes per row in a broadcast hash relation, texts not counted."""
     return 16 + sum(_WIDTH.get(type(f.dataType), 32) for f in df.schema.fields)
 
 
+def text_bytes(df: DataFrame):
+    """Aggregate: bytes in all string columns (0 without any)."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    return F.coalesce(F.sum(total.cast("long")), F.lit(0))
+
+
 def broadcast_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     raw = raw.strip().lower()
@@ -44,21 +53,14 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def measured(small: DataFrame) -> tuple[DataFrame, bool]:
-    """Cache and count the small side; say whether it fits a broadcast.
-
-    A side that fits stays cached (it is under the broadcast threshold, so
-    the cache is small).  A side that does not fit is released again and
-    joined by shuffle, so no large table stays pinned in executor memory.
-    """
+    """The small side, written once, and whether it fits a broadcast: rows
+    times fixed width plus the bytes of its texts."""
     limit = broadcast_limit(small)
     if limit < 0:
         return small, False
-    cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = cached.count()
-    if rows * row_width(cached) <= limit:
-        return cached, True
-    cached.unpersist(blocking=False)
-    return small, False
+    small = written(small, "measured")
+    size = small.agg(F.count(F.lit(1)).alias("n"), text_bytes(small).alias("b")).first()
+    return small, size["n"] * row_width(small) + size["b"] <= limit
 
 
 def join_measured(large: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "left") -> DataFrame:

@@ -23,13 +23,14 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contract import agg_by_name, all_not_null
-from .joins import join_measured, measured
+from ..session import written
+from .joins import broadcast_limit, join_measured, row_width, text_bytes
 from .quantile import group_quantiles
 
 Spec = tuple[str, str]
@@ -56,18 +57,16 @@ def _merged(recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], list[Spec]
     return list(out.items())
 
 
-def stat_exprs(keys: Sequence[str], specs: Sequence[Spec]) -> list[Column]:
-    return [agg_by_name(a, c).alias(stat_name(keys, a, c)) for c, a in specs]
-
-
 def _gid(keys: Sequence[str], all_keys: Sequence[str]) -> int:
     """``grouping_id()`` of a grouping set over ``all_keys``."""
     n = len(all_keys)
     return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
 
 
-def _stats_plan(df: DataFrame, recipes: Sequence[Recipe]):
+def _stats_plan(df: DataFrame, recipes: Sequence[Recipe], keep: Callable[[DataFrame], DataFrame] | None = None):
     """(combined, [(keys, stats)]): every key set from ONE aggregation.
+    ``keep`` stores the combined table, so that the key sets' slices read
+    what was stored instead of each repeating the aggregation.
 
     With several key sets the source is scanned once: ``GROUPING SETS``
     expands each row once per set before the partial aggregation, and each
@@ -102,6 +101,8 @@ def _stats_plan(df: DataFrame, recipes: Sequence[Recipe]):
         combined = df.groupingSets([list(k) for k, _ in merged], *all_keys).agg(
             *exprs, F.grouping_id().alias("_gid"))
         gid = True
+    if keep:
+        combined = keep(combined)
     parts = []
     for keys, specs in merged:
         keys = list(keys)
@@ -124,6 +125,26 @@ def aggregate(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str,
     return _stats_plan(df, recipes)[1]
 
 
+def stored_stats(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], DataFrame]]:
+    """The statistics frames of ``aggregate``, read from one stored table
+    and marked for broadcast where they were measured to fit: each key set's
+    own rows, with its medians and the bytes of its texts."""
+    combined, parts = _stats_plan(df, recipes, keep=lambda stats: written(stats, "stats"))
+    limit = broadcast_limit(df)
+    if limit < 0:
+        return parts
+    by = ["_gid"] if len(parts) > 1 else []
+    sizes = {r["_gid"] if by else None: r for r in
+             combined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), text_bytes(combined).alias("b")).collect()}
+    all_keys = [k for k in dict.fromkeys(k for keys, _ in parts for k in keys)]
+    out = []
+    for keys, part in parts:
+        size = sizes.get(_gid(keys, all_keys) if by else None)
+        fits = size is None or size["n"] * row_width(part) + size["b"] <= limit
+        out.append((keys, F.broadcast(part) if fits else part))
+    return out
+
+
 def group_stats(df: DataFrame, keys: Sequence[str], specs: Sequence[Spec]) -> DataFrame:
     """Statistics for a single key set."""
     return aggregate(df, [(keys, specs)])[0][1]
@@ -146,19 +167,16 @@ def enrich(df: DataFrame, recipes: Sequence[Recipe], stats_from: DataFrame | Non
            deviations: bool = True) -> DataFrame:
     """W01 + J02 + W02: attach group statistics beside each row.
 
-    The statistics of all key sets come from one aggregation, which is
-    materialised and measured once; when it fits the broadcast threshold
-    every key set's slice is broadcast (the rows are never shuffled),
-    otherwise each is a shuffle join.  ``stats_from`` fits the statistics
+    The statistics of all key sets come from one aggregation, written once;
+    a key set's slice that fits the broadcast threshold is broadcast (the
+    rows are never shuffled), any other is a shuffle join.  ``stats_from`` fits the statistics
     on another split (e.g. train) and applies them here; by default each
     split uses its own rows, as the reference does.
     """
     source = df if stats_from is None else stats_from
-    combined, parts = _stats_plan(source, recipes)
-    _, fits = measured(combined)
     out = df
-    for keys, stats in parts:
-        out = out.join(F.broadcast(stats) if fits else stats, on=list(keys), how="left")
+    for keys, stats in stored_stats(source, recipes):
+        out = out.join(stats, on=list(keys), how="left")
     if deviations:
         out = out.select("*", *deviation_exprs(recipes))
     return out

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +76,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once as Parquet under the shared folder and read
+    back, so several readers of it share one computation, pinning no
+    executor memory, and a lost executor recomputes nothing."""
+    path = shared_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -130,3 +130,25 @@ def test_measured_side_too_big_is_not_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_recipe_slices_share_one_scan_of_the_source(spark):
+    """Four key sets, with and without broadcast: the rows are scanned once,
+    the statistics come from the stored table."""
+    from tabforge.operators.recipes import enrich
+    df = spark.read.parquet(f"{SF001}/orders.parquet").withColumn("m", F.month("o_orderdate"))
+    recipes = [([k], [("o_totalprice", "mean")]) for k in ("o_custkey", "o_orderpriority", "o_orderstatus", "m")]
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                  "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for limit in ("10485760", "256"):
+        try:
+            for k in before:
+                spark.conf.set(k, limit)
+            out = enrich(df, recipes)
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            leaves = [ln for ln in plan.splitlines() if "Relation [" in ln]
+            assert len([ln for ln in leaves if "o_orderkey" in ln]) == 1 and "Expand" not in plan
+            assert out.count() == df.count()
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,11 +14,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -148,16 +145,23 @@ def pca2_transform(fit: Mapping[str, float], x: str, y: str) -> tuple[Column, Co
 # --- models (M07-M09, M15, M16) ---------------------------------------------------------------
 
 # Fixed parameter maps of the reference trainers, translated.
+# The trainers' gain thresholds are loss reductions summed over a node's rows;
+# Spark's ``minInfoGain`` is an impurity gain per row, so they have no
+# counterpart here: depth and the rows per node are the brakes.
 CREDIT_GBM = {"stepSize": 0.02, "maxIter": 1000, "maxDepth": 8, "subsamplingRate": 0.8715623,
-              "featureSubsetStrategy": "0.9497036", "minInfoGain": 0.0222415,
+              "featureSubsetStrategy": "0.9497036", "minInfoGain": 0.0,
               "minInstancesPerNode": 60, "validationTol": 0.0, "seed": 0}
 TRIP_GBM = {"stepSize": 0.05, "maxIter": 200, "maxDepth": 12, "subsamplingRate": 0.8,
-            "featureSubsetStrategy": "0.3", "minInfoGain": 0.05, "minInstancesPerNode": 10}
-# The trainer's ``gamma`` is a loss reduction summed over a node's rows, which
-# has no counterpart in Spark's impurity gain per row: depth is the brake.
+            "featureSubsetStrategy": "0.3", "minInfoGain": 0.0, "minInstancesPerNode": 10}
 PASSENGER_GBM = {"maxDepth": 3, "stepSize": 0.5, "minInfoGain": 0.0, "seed": 10}
 
 
+def gain_per_row(loss_reduction: float, rows: int) -> float:
+    """A threshold on the loss reduction over all rows as one on the gain
+    per row (equal at the root)."""
+    return loss_reduction / max(rows, 1)
+
+
 def gbt_classifier(label: str = "label", features: str = "features", validation: str | None = None,
                    **params) -> GBTClassifier:
     """Boosted-tree binary classifier; early stopping when a
@@ -213,21 +217,26 @@ def positive_probability(df: DataFrame, out: str = "score") -> DataFrame:
 
 def out_of_fold(df: DataFrame, estimator_factory: Callable[[], object], fold: str, k: int,
                 id_col: str, score: Callable[[DataFrame], DataFrame] = positive_probability,
-                validation: str | None = None) -> DataFrame:
+                validation: str | None = None,
+                prepare: Callable[[DataFrame], FeaturePrep] | None = None) -> DataFrame:
     """Fit on ``fold != i``, score ``fold == i``, for every fold; the
     union covers every row exactly once.  With ``validation`` the held-out
     fold is also the early-stopping set (flagged in that column), as the
-    reference's ``valid_sets``.  The input is checkpointed first so the k
+    reference's ``valid_sets``.  ``prepare`` fits the features on the
+    training rows of each fold, never on the held-out ones.  The input is checkpointed first so the k
     fits do not recompute its lineage."""
     data = cut_lineage(df)
     parts = []
     for i in range(k):
+        rows = data
+        if prepare is not None:
+            rows = prepare(data.where(F.col(fold) != i)).transform(data)
         if validation:
-            fit_on = data.withColumn(validation, F.col(fold) == i)
+            fit_on = rows.withColumn(validation, F.col(fold) == i)
         else:
-            fit_on = data.where(F.col(fold) != i)
+            fit_on = rows.where(F.col(fold) != i)
         model = estimator_factory().fit(fit_on)
-        parts.append(score(model.transform(data.where(F.col(fold) == i))).select(id_col, "score"))
+        parts.append(score(model.transform(rows.where(F.col(fold) == i))).select(id_col, "score"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -308,16 +317,3 @@ def validation_curve(df: DataFrame, make_estimator: Callable[[object], object],
         rows.append((param, str(v), tm, ts, vm, vs))
     return spark.createDataFrame(rows, "param string, value string, train_mean double, train_std double, "
                                        "test_mean double, test_std double")
-
-
-def evaluators(label: str = "label"):
-    return {
-        "auc": BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                             metricName="areaUnderROC", numBins=0),
-        "accuracy": MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        "rmse": RegressionEvaluator(labelCol=label, metricName="rmse"),
-        "r2": RegressionEvaluator(labelCol=label, metricName="r2"),
-    }
-
-
-__all__ = ["Pipeline"]

@@ -14,7 +14,8 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import encode, ml, profile
+from ..operators import ml, profile
+from ..session import cut_lineage
 from . import cover, credit, passenger, trip
 from .common import T, query
 
@@ -63,34 +64,41 @@ def m05_split(spark, sf_dir):
 
 
 def credit_frame(t) -> tuple[DataFrame, list[str]]:
-    """Customers with target and child features, imputed and assembled."""
+    """Customers with label and child features, missing values kept.  The
+    label mixes what the features can know (mean order price) with what
+    they cannot (account balance), each on about its own spread, so models
+    have a partial signal to find."""
     feats = (credit.hist_profile(t)
              .join(credit.prev_last(t), "o_custkey", "left")
              .join(credit.tail_stats(credit.prev(t), "o_custkey", credit.ORDER, [1, 3, 5], credit.TAIL_COLS),
                    "o_custkey", "left")
              .withColumnRenamed("o_custkey", "c_custkey"))
     names = [c for c in feats.columns if c != "c_custkey"]
-    df = credit.target(t).join(feats, "c_custkey", "left")
-    df = df.select("c_custkey", F.col("target").cast("double").alias("label"),
-                   *[F.col(c).cast("double").alias(c) for c in names])
-    return ml.assemble(df, names, impute=True), names
+    prices = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.avg("o_totalprice").alias("_price"))
+    price = F.coalesce("_price", F.lit(250000.0))
+    label = (price - 250000) / 48000 + (F.col("c_acctbal") - 4500) / 3200 < -0.5
+    df = t.customer.select("c_custkey", "c_acctbal").join(prices, "c_custkey", "left") \
+        .select("c_custkey", label.cast("double").alias("label")).join(feats, "c_custkey", "left")
+    return df.select("c_custkey", "label", *[F.col(c).cast("double").alias(c) for c in names]), names
 
 
 @query("M07_gbt_classifier")
 def m07_gbt_classifier(spark, sf_dir):
-    data, _ = credit_frame(T(spark, sf_dir))
-    data = data.withColumn("is_valid", ml.fold_col("c_custkey", 5, seed=1024) == 0)
-    model = ml.gbt_classifier(validation="is_valid", **ml.CREDIT_GBM).fit(data)
-    scored = ml.positive_probability(model.transform(data.where(F.col("is_valid"))))
-    return scored.select("c_custkey", "score").orderBy("c_custkey")
+    data, names = credit_frame(T(spark, sf_dir))
+    data = cut_lineage(data.withColumn("is_valid", ml.fold_col("c_custkey", 5, seed=1024) == 0))
+    rows = ml.fit_features(data.where(~F.col("is_valid")), names).transform(data)
+    model = ml.gbt_classifier(validation="is_valid", **ml.CREDIT_GBM).fit(rows)
+    scored = ml.positive_probability(model.transform(rows))
+    return scored.select("c_custkey", "is_valid", "score").orderBy("c_custkey")
 
 
 @query("M10_out_of_fold")
 def m10_out_of_fold(spark, sf_dir):
-    data, _ = credit_frame(T(spark, sf_dir))
+    data, names = credit_frame(T(spark, sf_dir))
     data = data.withColumn("fold", ml.fold_col("c_custkey", 5, seed=1024))
     oof = ml.out_of_fold(data, lambda: ml.gbt_classifier(validation="is_valid", **ml.CREDIT_GBM),
-                         "fold", 5, "c_custkey", validation="is_valid")
+                         "fold", 5, "c_custkey", validation="is_valid",
+                         prepare=lambda train: ml.fit_features(train, names))
     return oof.orderBy("c_custkey")
 
 
@@ -121,9 +129,9 @@ def trip_frame(t):
 @query("M08_gbt_regressor")
 def m08_gbt_regressor(spark, sf_dir):
     train, test, feats = trip_frame(T(spark, sf_dir))
-    fit, hold = ml.split(train, "id", 0.2, seed=33)
+    fit, hold = ml.split(cut_lineage(train), "id", 0.2, seed=33)
     data = (fit.withColumn("is_valid", F.lit(False)).unionByName(hold.withColumn("is_valid", F.lit(True))))
-    prep = ml.fit_features(data, feats)            # train means, applied to test too
+    prep = ml.fit_features(fit, feats)             # means of the fitted rows, applied to all others
     model = ml.gbt_regressor(validation="is_valid", **ml.TRIP_GBM).fit(prep.transform(data))
     scored = model.transform(prep.transform(test))
     return scored.select("id", F.expm1("prediction").alias("trip_duration")).orderBy("id")
@@ -202,8 +210,9 @@ def m13_learning_curve(spark, sf_dir):
 @query("M14_validation_curve")
 def m14_validation_curve(spark, sf_dir):
     data, _, _ = passenger_frame(T(spark, sf_dir), folds=3)
-    make = lambda v: ml.gbt_classifier(maxDepth=3, stepSize=0.5, minInfoGain=float(v), seed=10)
-    return ml.validation_curve(data, make, [0.5, 0.75, 1.0, 2.0, 3.0, 5.0], _acc(), "fold", 3, "minInfoGain")
+    rows = data.count() * 2 // 3
+    make = lambda v: ml.gbt_classifier(**{**ml.PASSENGER_GBM, "minInfoGain": ml.gain_per_row(v, rows)})
+    return ml.validation_curve(data, make, [0.5, 0.75, 1.0, 2.0, 3.0, 5.0], _acc(), "fold", 3, "gamma")
 
 
 @query("M16_predict")
@@ -213,5 +222,3 @@ def m16_predict(spark, sf_dir):
     out = ml.predict(model, test, "PassengerId", "Survived", transform=lambda c: c.cast("int"))
     return out.orderBy("PassengerId")
 
-
-__all__ = ["encode"]

@@ -28,7 +28,7 @@ pass AS (
          CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_acctbal END AS Fare,
          CASE c_mktsegment WHEN 'BUILDING' THEN 'S' WHEN 'AUTOMOBILE' THEN 'C'
                            WHEN 'MACHINERY' THEN 'Q' WHEN 'FURNITURE' THEN 'S' END AS Embarked,
-         CAST(c_acctbal > 4000 AS INTEGER) AS Survived,
+         CAST(c_acctbal + (c_custkey * 7919 % 10007) / 2 > 6500 AS INTEGER) AS Survived,
          c_custkey % 5 = 0 AS is_test
   FROM customer),
 ptrain AS (SELECT * EXCLUDE (is_test) FROM pass WHERE NOT is_test),
@@ -49,7 +49,7 @@ def passengers(t) -> DataFrame:
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("Fare"),
         F.when(seg == "BUILDING", "S").when(seg == "AUTOMOBILE", "C").when(seg == "MACHINERY", "Q")
         .when(seg == "FURNITURE", "S").alias("Embarked"),
-        (F.col("c_acctbal") > 4000).cast("int").alias("Survived"),
+        (F.col("c_acctbal") + k * 7919 % 10007 / 2 > 6500).cast("int").alias("Survived"),
         (k % 5 == 0).alias("is_test"))
 
 

@@ -24,18 +24,28 @@ ROUNDS = 8
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date", "secret")
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
-_PATTERN = re.compile(r"""
-  (?P<email>(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}(?=@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}))
-| (?P<iban>\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}\b)
-| (?P<date>(?<![\d.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d|[.-]\d))
-| (?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))
-| (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d))
-| (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)
-    |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
-| (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))
-| (?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])
-    |(?<=[=:"' ])(?<![A-Za-z0-9])(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,64}(?![A-Za-z0-9]))
-""", re.X)
+#: In the order in which they are tried where several start together.
+_FORMS = {
+    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}(?=@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})",
+    "iban": r"\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}\b",
+    "date": r"(?<![\d.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d|[.-]\d)",
+    "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
+    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
+    "phone": r"""(?<![\w+])(?:\+\d{1,3}[ .-]?|1[ .-])?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)
+        |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)""",
+    "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
+    "secret": r"""(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])
+        |(?<=[=:"' ])(?<![A-Za-z0-9])(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,64}(?![A-Za-z0-9])""",
+}
+_ORDER = tuple(_FORMS)
+_FORM = {kind: re.compile(form, re.X) for kind, form in _FORMS.items()}
+_PATTERN = re.compile("|".join(f"(?P<{kind}>{form})" for kind, form in _FORMS.items()), re.X)
+_IBAN_LENGTH = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 "
+    "YE30").split()}
 _MAYBE = re.compile(r"[\d@]")
 
 
@@ -135,12 +145,32 @@ def _mod97(body: str, country: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
 
 
-def _iban(v: str, go) -> str | None:
+def _is_iban(v: str) -> bool:
     s = v.replace(" ", "")
-    if not 15 <= len(s) <= 34 or _mod97(s[4:], s[:2]) != int(s[2:4]):
+    return 15 <= len(s) <= 34 and _mod97(s[4:], s[:2]) == int(s[2:4])
+
+
+def _iban_end(v: str) -> int | None:
+    """Where ``v`` has the length of its country, if that is a boundary."""
+    n = _IBAN_LENGTH.get(v[:2])
+    for i, c in enumerate(v):
+        if n is not None and c != " ":
+            n -= 1
+            if not n:
+                return i + 1 if i + 1 == len(v) or v[i + 1] == " " else None
+    return None
+
+
+def _iban(v: str, go) -> str | None:
+    if not _is_iban(v):
         return None
-    body = _by_class(s[4:], go)
-    return _refill(v, s[:2] + f"{_mod97(body, s[:2]):02d}" + body)
+    s, end = v.replace(" ", ""), _iban_end(v)
+    body = s[4:]
+    while True:     # walk on until no shorter one is found first
+        body = _by_class(body, go)
+        new = _refill(v, s[:2] + f"{_mod97(body, s[:2]):02d}" + body)
+        if end in (None, len(v)) or not _is_iban(new[:end]):
+            return new
 
 
 def _ssn(v: str, go) -> str | None:
@@ -239,20 +269,58 @@ class Pseudonyms:
         move = f.restore if undo else f.permute
         self.one = lru_cache(50_000)(lambda kind, v: _WORK[kind](v, lambda x, n: move(x, n, kind)))
 
+    def _ends(self, kind: str, s: str, start: int, end: int) -> Iterator[int]:
+        """Where a match that may have taken in what follows can end."""
+        if kind == "iban":
+            own = _iban_end(s[start:end])
+            if own is not None and start + own < end:
+                yield start + own
+        yield end
+        if kind == "phone":
+            for e in range(end - 1, start, -1):
+                if s[e - 1].isdigit() and not s[e].isdigit() and _FORM[kind].fullmatch(s, start, e):
+                    yield e
+
+    def _cuts(self, s: str, start: int, end: int) -> bool:
+        """A valid number of a checked format starts inside and goes on behind."""
+        for i in range(start + 1, end):
+            if s[i].isdigit() and not s[i - 1].isalnum():
+                for kind in ("card", "date", "ip", "ssn"):
+                    m = _FORM[kind].match(s, i)
+                    if m and m.end() > end and self.one(kind, m[0]) is not None:
+                        return True
+        return False
+
+    def _value(self, kind: str, s: str, start: int) -> tuple[int, str] | None:
+        """End and pseudonym of the valid value of a kind that starts here."""
+        m = _FORM[kind].match(s, start)
+        for end in self._ends(kind, s, start, m.end()) if m else ():
+            new = self.one(kind, s[start:end])
+            if new is not None and not (kind == "phone" and self._cuts(s, start, end)):
+                return end, new
+        return None
+
     def text(self, s: str) -> tuple[str, list[str]]:
         found: list[str] = []
         if not _MAYBE.search(s):
             return s, found
-
-        def swap(m: re.Match) -> str:
-            kind, value = next(k for k in KINDS if m[k] is not None), m[0]
-            new = self.one(kind, value) if kind in self.kinds else None
-            if new is None:     # it only looks like one; a loose format may have taken in others
-                return value[:4] + _PATTERN.sub(swap, value[4:]) if kind == "iban" and value[4] == " " else value
-            found.append(kind)
-            return new
-
-        return _PATTERN.sub(swap, s), found
+        out, done, at = [], 0, 0
+        while m := _PATTERN.search(s, at):
+            at = m.start()
+            for kind in _ORDER[_ORDER.index(m.lastgroup):]:
+                value = self._value(kind, s, at)
+                if value:
+                    break
+            else:       # it only looks like one; others may start behind
+                at += 1
+                continue
+            end, new = value
+            if kind in self.kinds:
+                found.append(kind)
+                out += s[done:at], new
+                done = end
+            at = end
+        return "".join((*out, s[done:])), found
 
 
 _made: dict[tuple, Pseudonyms] = {}
@@ -266,8 +334,12 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", keep: tuple[str,
 
     Whole texts; null text stays null with an empty map, empty text empty.
     Layout and length stay, so offsets into the text stay right.  Numbers
-    that fail their format's check are left alone.  One row in, one out, in
-    the same columns order, no shuffle."""
+    that fail their format's check are left alone, and a value beside other
+    digits or capitals is looked for at every end (an IBAN at its country's
+    length) and from every character on.  Where such a neighbour overlaps a
+    value, the pseudonym can by chance make the neighbour's own check come
+    right (Luhn: one in ten), and ``undo`` then misreads the two.  One row
+    in, one out, in the same columns order, no shuffle."""
     prepare(df.sparkSession)
     names = [c for c in df.columns if keep is None or c in keep or c == text]
     if counts in names:

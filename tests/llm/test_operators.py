@@ -247,6 +247,26 @@ def test_pii_round_trip(spark, edge):
     assert len(out) == len(EDGE) and out[0]["text"] is None
 
 
+def test_pii_next_to_other_digits_and_capitals():
+    iban, phone, card = "DE89 3704 0044 0532 0130 00", "+44 20 7946 0958", "4111 1111 1111 1111"
+    cases = {f"{iban.replace(' ', '')} EUR 500": {"iban": 1}, f"{iban} BIC COBADEFF": {"iban": 1},
+             f"AB12 {iban} 2024": {"iban": 1}, f"{iban} GB82WEST12345698765432": {"iban": 2}, f"{phone} 2021": {"phone": 1},
+             f"{phone} {card}": {"phone": 1, "card": 1}, f"+44 20 7946 095 {card}": {"phone": 1, "card": 1},
+             f"{phone} 2021-02-28": {"phone": 1, "date": 1}, f"1234 {card}": {"card": 1}, f"555 123 {card}": {"card": 1},
+             "DE89 3704 0044 0532 0130 01 EUR 500": {}, "+44 20 7946 0958 4111 1111 1111 1112": {"phone": 1}}
+    hide, back = pii.Pseudonyms(b"k" * 16), pii.Pseudonyms(b"k" * 16, undo=True)
+    for text, kinds in cases.items():
+        new, found = hide.text(text)
+        assert Counter(found) == kinds and back.text(new)[0] == text, text
+        for value in (iban, iban.replace(" ", ""), phone, card):
+            assert value not in new, text
+            if value in text:       # the same pseudonym as where it stands alone
+                assert hide.text(value)[0] in new, text
+    assert hide.text(f"{phone} {card}")[0] == f"{hide.text(phone)[0]} {hide.text(card)[0]}"
+    other = pii.Pseudonyms(b"k" * 16, kinds=("phone",)).text(f"{phone} {card}")
+    assert other == (f"{hide.text(phone)[0]} {card}", ["phone"])
+
+
 def test_packing(spark, docs, edge):
     rng = random.Random(3)
     for _ in range(50):

@@ -35,7 +35,8 @@ _FORMS = {
         |(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)""",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "secret": r"""(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])
-        |(?<=[=:"' ])(?<![A-Za-z0-9])(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,64}(?![A-Za-z0-9])""",
+        |(?<=[=:"' ])(?<![A-Za-z0-9])(?:(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,64}
+            |(?=[0-9A-F]*\d)(?=[0-9A-F]*[A-F])[0-9A-F]{16,64})(?![A-Za-z0-9])""",
 }
 _ORDER = tuple(_FORMS)
 _FORM = {kind: re.compile(form, re.X) for kind, form in _FORMS.items()}
@@ -249,10 +250,12 @@ def _secret(v: str, go) -> str:
     if v.startswith("AKIA"):
         return "AKIA" + _by_class(v[4:], go)
     x = int(v, 16)
-    while True:     # walk on until it has a digit and a letter again
+    while True:     # walk on until it has a digit and a letter again, and isn't found as an IBAN
         x = go(x, 16 ** len(v))
         new = f"{x:0{len(v)}x}"
-        if not new.isdigit() and not new.isalpha():
+        if v.isupper():
+            new = new.upper()
+        if not new.isdigit() and not new.isalpha() and not (_FORM["iban"].fullmatch(new) and _is_iban(new)):
             return new
 
 
@@ -338,7 +341,8 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", keep: tuple[str,
     digits or capitals is looked for at every end (an IBAN at its country's
     length) and from every character on.  Where such a neighbour overlaps a
     value, the pseudonym can by chance make the neighbour's own check come
-    right (Luhn: one in ten), and ``undo`` then misreads the two.  One row
+    right (Luhn: one in ten), and ``undo`` then misreads the two.  Hex secrets
+    are all small or all capital letters, and keep them.  One row
     in, one out, in the same columns order, no shuffle."""
     prepare(df.sparkSession)
     names = [c for c in df.columns if keep is None or c in keep or c == text]

@@ -267,6 +267,18 @@ def test_pii_next_to_other_digits_and_capitals():
     assert other == (f"{hide.text(phone)[0]} {card}", ["phone"])
 
 
+def test_pii_in_capitals():
+    token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    hide, back = pii.Pseudonyms(b"k" * 16), pii.Pseudonyms(b"k" * 16, undo=True)
+    for value in (token, token.upper(), token[:16].upper(), "DE89A8ECF7C5B09FE594"):
+        text = f'TOKEN = "{value}" AND MORE'
+        new, found = hide.text(text)
+        assert found == ["secret"] and value not in new and len(new) == len(text) and back.text(new)[0] == text
+    assert hide.text(f" {token.upper()}")[0] == hide.text(f" {token}")[0].upper()
+    for text in (f'"{token[:20]}{token[20:].upper()}"', '"ABCDEFABCDEFABCDEF"', f'"{token.upper()}X"'):
+        assert hide.text(text) == (text, [])    # mixed case, no digit, part of a longer word
+
+
 def test_packing(spark, docs, edge):
     rng = random.Random(3)
     for _ in range(50):

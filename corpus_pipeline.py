@@ -32,10 +32,19 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked at a similarity of 0.8 over five-word shingles
-    the smallest doc_id stays."""
-    gone = minhash.classes(docs, k=5, percent=80).where(~F.col("kept")).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti") \
-        .select(*COLUMNS)
+    one row stays: the one with the smallest doc_id (null after all others),
+    and of several rows with it one of the text with the smallest hash.
+    Rows are told apart by a number of their own, so neither copies of a row,
+    nor two texts under one doc_id, nor null ids are taken for one another.
+    Texts without a word link with nothing and all stay."""
+    scratch = Scratch(spark, "near-duplicates")
+    rows = scratch.save(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+    group = minhash.classes(rows, key="row", k=5, percent=80, scratch=scratch).select("row", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "row")
+    kept = rows.select("row", order.alias("first")).join(group, "row") \
+        .groupBy("component_id").agg(F.min("first")["row"].alias("row"))
+    gone = rows.select("row").join(kept, "row", "left_anti")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -335,3 +335,18 @@ def test_pipeline_stages(spark, docs):
             assert set(got) == {i for i, t in before.items() if any(map(str.isalpha, t))}
         rows = spark.createDataFrame(after.collect(), after.schema)
     assert C.run(spark, SF001).select("doc_id").distinct().count() == rows.count()
+
+
+def test_near_duplicates_stage_decides_by_row(spark):
+    import corpus_pipeline as C
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    texts = [(1, a), (1, a), (1, a), (2, a + " more"), (2, b), (3, c), (3, d), (None, b), (None, "no copy of this text"),
+             (None, "no copy of this text"), (4, None), (4, None), (5, ""), (6, "\t \n"), (7, d)]
+    rows = spark.createDataFrame([(i, t, "xx", "y", len(t or "")) for i, t in texts],
+                                 "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    after = C.drop_near_duplicates(spark, rows, SF001)
+    assert after.columns == list(C.COLUMNS)
+    got = Counter((r["doc_id"], r["text"]) for r in after.collect())
+    assert got == {(1, a): 1, (2, b): 1, (3, c): 1, (3, d): 1, (None, "no copy of this text"): 1, (4, None): 2, (5, ""): 1,
+                   (6, "\t \n"): 1}
+    assert C.drop_near_duplicates(spark, rows.limit(0), SF001).count() == 0

@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language go: null text or one without a letter.  A
-    text that is merely ambiguous (two languages in it) is a clean one."""
+    """Null texts and texts without a letter go.  The classifier rejects
+    nothing else: letters in no learned language stay, and a text that is
+    merely ambiguous (two languages in it) is a clean one."""
     model = ecoc.fit(docs.where(F.coalesce(crc_mod(F.col("doc_id"), 4) != 2, F.lit(True))))
     return ecoc.predict(docs, model, keep=(*COLUMNS,)).where("lang_pred != 'und'").select(*COLUMNS)
 

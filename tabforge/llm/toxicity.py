@@ -35,8 +35,7 @@ INVISIBLE = (0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF, *range(0x300, 0x370))
 
 STEMS = range(3, 13)        # lengths of stems tried
 MIN_CONTEXTS = 5            # pairs of neighbours an entry must have in toxic texts
-CLEAN_SHARE = 0.02          # an entry's clean texts against its toxic contexts, at most
-CANDIDATES = 5_000          # entries that qualify, strongest first
+CLEAN_SHARE = 0.02          # an entry's clean texts against its toxic texts, at most
 SAME = 0.95                 # share of a stem's contexts that makes longer ones as good
 FIT_ROWS = 20_000           # labelled rows that the exceptions and the calibration see
 CONTEXT_DOCS = 5            # clean texts that must hold an exception phrase
@@ -137,8 +136,9 @@ class Lexicon:
 
 @frugal
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Clean texts with each folded word, and each word of a toxic text with
-    a digest of its two neighbours; a task adds up its own."""
+    """Clean texts (-1) and toxic texts (-2) with each folded word, and each
+    word of a toxic text with a digest of its two neighbours; a task adds up
+    its own."""
     def flush() -> pa.RecordBatch:
         keys = list(counts)
         out = pa.RecordBatch.from_arrays(
@@ -154,22 +154,22 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if label:
                 counts.update({(w, zlib.crc32(f"{a} {c}".encode()))
                                for a, w, c in zip(["", *words], words, [*words[1:], ""], strict=False)})
-            else:
-                counts.update((w, -1) for w in set(words))
+            counts.update((w, -2 if label else -1) for w in set(words))
             if len(counts) > 100_000:
                 yield flush()
     yield flush()
 
 
 def _stems(words: DataFrame) -> DataFrame:
-    """Words and their leading letters with the clean texts (``clean``) and
-    the distinct toxic contexts (``bad``) they stand in."""
+    """Words and their leading letters with the clean texts (``clean``), the
+    toxic texts (``toxic``) and the distinct toxic contexts (``bad``) they
+    stand in."""
     stems = F.transform(F.sequence(F.lit(STEMS.start), F.least(F.length("w"), F.lit(STEMS.stop - 1))),
                         lambda n: F.substring("w", F.lit(1), n))
     entry = F.explode(F.concat(F.array(F.concat("w", F.lit("$"))),
                                F.when(F.length("w") >= STEMS.start, stems).otherwise(F.array().cast("array<string>"))))
-    return words.select(entry.alias("entry"), "clean", "bad").groupBy("entry") \
-        .agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+    return words.select(entry.alias("entry"), "clean", "toxic", "bad").groupBy("entry") \
+        .agg(*[F.sum(c).alias(c) for c in ("clean", "toxic", "bad")])
 
 
 def _choose(support: dict[str, int]) -> list[str]:
@@ -218,7 +218,10 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
 
     Words are counted over all rows.  What counts
     for an entry are its distinct neighbours in toxic texts, so a toxic text
-    with many near copies doesn't make its own words entries.  About
+    with many near copies doesn't make its own words entries; its clean texts
+    may be ``CLEAN_SHARE`` of its toxic ones, whatever the number of rows.
+    All entries that pass both rules reach the driver and the tasks; their
+    number follows the vocabulary of toxic texts, not the rows.  About
     ``fit_rows`` rows (all, if there are fewer), chosen by a hash of the
     text, give the exceptions and calibrate the score.  ``exceptions`` are phrases in which
     hits don't count; pairs of words with a hit that stand in clean rows but
@@ -231,7 +234,8 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     contexts = data.mapInArrow(_word_counts, "w string, context long, n long") \
         .groupBy("w", "context").agg(F.sum("n").alias("n"))
     words = contexts.groupBy("w").agg(
-        F.sum(F.when(F.col("context") < 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(F.col("context") == -1, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(F.col("context") == -2, F.col("n")).otherwise(0)).alias("toxic"),
         F.sum(F.when(F.col("context") >= 0, 1).otherwise(0)).alias("bad"))
     n = {r["y"]: r["count"] for r in data.groupBy("y").count().collect()}
     if not n.get(1) or not n.get(0):
@@ -242,8 +246,8 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     # would get there by chance.
     chance = n[1] / (n[0] + n[1])
     least = max(MIN_CONTEXTS, math.ceil((math.log(max(1, words.count())) + 3) / -math.log(chance)))
-    top = _stems(words).where((F.col("bad") >= least) & (F.col("clean") <= CLEAN_SHARE * F.col("bad"))) \
-        .orderBy(F.desc("bad"), "entry").limit(CANDIDATES).collect()
+    top = _stems(words).where((F.col("bad") >= least) & (F.col("clean") <= CLEAN_SHARE * F.col("toxic"))) \
+        .orderBy(F.desc("bad"), "entry").collect()
     odds = {r["entry"]: math.log((r["bad"] + 0.5) / (n[1] + 1)) - math.log((r["clean"] + 0.5) / (n[0] + 1)) for r in top}
     chosen = _choose({r["entry"]: r["bad"] for r in top})
     share = sum(n.values())
@@ -253,7 +257,7 @@ def fit(rows: DataFrame, text: str = "text", label: str = "toxic", exceptions: S
     lexicon = Lexicon(weights, tuple(fold(p) for p in exceptions))
     pairs = part.mapInArrow(_contexts(lexicon), "pair string, y int") \
         .groupBy("pair").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n")) \
-        .where((F.col("bad") == 0) & (F.col("n") >= CONTEXT_DOCS)).orderBy(F.desc("n"), "pair").limit(CANDIDATES).collect()
+        .where((F.col("bad") == 0) & (F.col("n") >= CONTEXT_DOCS)).orderBy(F.desc("n"), "pair").collect()
     lexicon = Lexicon(weights, (*lexicon.exceptions, *(r["pair"] for r in pairs)))
     x = part.mapInArrow(_feature_rows(lexicon), "total double, density double, y int") \
         .groupBy("total", "density", "y").count().collect()
@@ -303,8 +307,8 @@ def score(df: DataFrame, lexicon: Lexicon, text: str = "text", keep: tuple[str,
     """``keep`` columns plus ``score`` (0 to 1, higher is more toxic),
     ``predicted`` (1 from a half on) and ``hits`` (entries found) for each
     whole text.  Null and empty texts have no hit and score like any clean
-    text.  Repeated rows get the same score.  No shuffle; the lexicon is
-    bounded by ``CANDIDATES`` and travels with the task."""
+    text.  Repeated rows get the same score.  No shuffle; the lexicon
+    travels with the task."""
     prepare(df.sparkSession)
     own = only(df, __text=text, **{k: k for k in keep})
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[1:]),

@@ -219,6 +219,22 @@ def test_toxicity(spark, edge):
     assert not toxicity.fit(spark.createDataFrame([], "text string, toxic int")).weights
 
 
+def test_toxicity_takes_every_entry_that_qualifies(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["wort" + "".join(rng.choices(letters, k=3)) for _ in range(400)]
+    bad = ["".join(rng.choices(letters, k=14)) for _ in range(600)]
+    rows = [(" ".join(rng.choices(words, k=12)), 0) for _ in range(6000)]
+    for i in range(0, 600, 10):      # ten entries a text, with ten pairs of neighbours each
+        rows += [(" ".join(x for w in bad[i:i + 10] for x in (rng.choice(words), w, rng.choice(words))), 1) for _ in range(10)]
+    # In 400 toxic texts with eight pairs of neighbours, and in 1 percent as many clean ones.
+    rows += [(f"{words[i % 8]} grobian {words[i % 8 + 8]} {rng.choice(words)}", 1) for i in range(400)]
+    rows += [(f"{rng.choice(words)} grobian {rng.choice(words)} {i}", 0) for i in range(4)]
+    lexicon = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    assert [w for w in [*bad, "grobian"] if not lexicon.hits(w)] == []
+    assert not any(lexicon.hits(w) for w in words)
+
+
 def test_token_cache(spark, docs, edge, tmp_path):
     path, cache = P.path("byte_bpe_50k.json"), str(tmp_path / "cache")
     first = {r["doc_id"]: r["n_tokens"] for r in token_cache.count_tokens(docs, path, cache, keep=("doc_id",)).collect()}

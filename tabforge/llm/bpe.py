@@ -18,9 +18,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabforge.llm.common import frugal, only, prepare
-
-MEMO = 400_000     # chunks, pieces and pairs remembered per worker; each cleared when full
+from tabforge.llm.common import Memo, frugal, keeps, only, prepare
+
+MEMO = 8 << 20     # bytes of chunks, and of pieces, remembered per worker and generation
+PAIRS = 200_000    # pairs of tokens remembered per worker; cleared when full
+#: Fixed value: patterns none of whose matches reaches from a character that
+#: is not white space into white space after it.
+APART = frozenset({
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
+})
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 
@@ -41,7 +47,8 @@ class Encoder:
 
         self.ranks, self.bytes = ranks, {r: t for t, r in ranks.items()}
         self.decimal = {r: str(r) for r in self.bytes}
-        self.split = regex.compile(pattern).findall
+        self.split = regex.compile(pattern).finditer
+        self.apart = pattern in APART
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
@@ -50,8 +57,8 @@ class Encoder:
         self.joined: dict[tuple[int, int], int] = {}         # the merge's other direction
         self.shorter: dict[int, int | None] = {}             # longest proper prefix that is a token
         self.fits: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}           # of chunks
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.memo = Memo(MEMO)                               # ids of chunks
+        self.pieces = Memo(MEMO)
         self._learn()
 
     def _learn(self) -> None:
@@ -109,7 +116,7 @@ class Encoder:
                 limit, side, a = a, -1, self.parts[a][1]
             else:
                 limit, side, b = b, 1, self.parts[b][0]
-        if len(self.fits) >= MEMO:
+        if len(self.fits) >= PAIRS:
             self.fits.clear()
         self.fits[key] = ok
         return ok
@@ -151,32 +158,32 @@ class Encoder:
             token = self.shorter[token]
         return token
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        found: tuple[int, ...] = ()
-        for piece in self.split(chunk):
-            ids = self.pieces.get(piece)
+    def _chunk(self, chunk: str) -> list[int] | tuple[int, ...]:
+        if (known := self.memo.get(chunk)) is not None:
+            return known
+        found: list[int] = []
+        for match in self.split(chunk):
+            piece = match[0]
+            ids = self.pieces.get(piece) if len(piece) <= 64 else None
             if ids is None:
-                ids = tuple(self.piece(piece.encode()))
+                ids = self.piece(piece.encode())
                 if len(piece) <= 64:
-                    if len(self.pieces) >= MEMO:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
+                    self.pieces.put(piece, tuple(ids))
             found += ids
         if len(chunk) <= 64:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[chunk] = found
+            self.memo.put(chunk, tuple(found))
         return found
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text.  Pieces never reach from a character that is not
-        white space into a blank or line end after it, so the text is cut
-        there and short chunks are remembered."""
-        if _ODD_SPACE.search(text):
+        """Ids of a text.  If no match of the pattern reaches from a character
+        that is not white space into a blank or line end after it, the text
+        is cut there and short chunks are remembered.  That holds for the
+        patterns in ``APART``; with any other the text is matched whole."""
+        if not self.apart or _ODD_SPACE.search(text):
             return list(self._chunk(text))
-        memo, out = self.memo, []
+        known, out = self.memo.young.get, []
         for chunk in _CHUNK.findall(text):
-            ids = memo.get(chunk)
+            ids = known(chunk)
             out += self._chunk(chunk) if ids is None else ids
         return out
 
@@ -185,6 +192,7 @@ class Encoder:
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
+keeps(_encoders.clear, __name__)
 
 
 def encoder(path: str, pattern: str) -> Encoder:

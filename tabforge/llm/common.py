@@ -8,6 +8,7 @@ import ctypes
 import functools
 import gc
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -21,11 +22,17 @@ from tabforge.session import ensure_checkpoint_dir
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package from where the driver has it,
+    and hand them texts in batches of a few MB, unless the session says how.
 
     On a cluster the package is installed or sent with ``--py-files``; the
     extra path is then simply not there and is ignored."""
+    if spark.conf.get(BATCH_SETTING, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     env = spark.sparkContext.environment
     if REPO not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(p for p in (REPO, env.get("PYTHONPATH", "")) if p)
@@ -113,11 +120,56 @@ def only(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
+_kept: dict[Callable[[], None], tuple[str, ...]] = {}
+
+
+def keeps(clear: Callable[[], None], *modules: str) -> None:
+    """A worker's memory that outlives its tasks: ``clear`` empties it as
+    soon as the function of another module than ``modules`` starts."""
+    _kept[clear] = modules
+
+
+def _enter(module: str) -> None:
+    for clear, modules in _kept.items():
+        if module not in modules:
+            clear()
+
+
+class Memo:
+    """Results that a worker remembers, in two generations of ``limit``
+    bytes each: when the young one is full it becomes the old one, whose
+    entries live on if they are asked for again."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old, self.held = {}, {}, 0
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.pop(key, None)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        size = 150 + sys.getsizeof(key) + sys.getsizeof(value)
+        if self.held + size > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.held += size
+        self.young[key] = value
+
+
 def frugal(run: Callable) -> Callable:
-    """Give freed memory back when a task's function ends: Python workers
-    live on, and an executor's limit counts what they still hold."""
+    """Give freed memory back when a task's function ends, and at its start
+    what other operators left in the worker: Python workers live on, and an
+    executor's limit counts what they still hold."""
+    module = run.__module__
+
     @functools.wraps(run)
     def wrapped(batches):
+        _enter(module)
         try:
             yield from run(batches)
         finally:

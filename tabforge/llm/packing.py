@@ -24,16 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, batches_of_text, frugal, gapless, only, prepare
+from tabforge.llm.common import Memo, Scratch, batches_of_text, frugal, gapless, keeps, only, prepare
 
-MEMO = 500_000     # words remembered per worker; cleared when full
+MEMO = 12 << 20     # bytes of words remembered per worker and generation
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Lower-case Latin-1 letters or common marks alone make one token group.
 _SIMPLE = re.compile("[a-zß-öø-ÿ]+|[.,!?;:%&*$#|]+").fullmatch
 _RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^\\sa-zªµºß-öø-ÿ]+").findall
-_words: dict[str, dict[str, bytes]] = {}
+_words: dict[str, Memo] = {}
 _ends: dict[str, np.ndarray] = {}
 _loaded: dict[str, object] = {}
+for _cache in (_words, _ends, _loaded):
+    keeps(_cache.clear, __name__)
 
 
 def _tokenizer(path: str):
@@ -92,20 +94,20 @@ def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     For a tokenizer that drops white space and never joins across it, a
     text's ids are those of its words in order; words are remembered.  Texts
     with unusual white space go to the library whole."""
-    t, memo = _tokenizer(path), _words.setdefault(path, {})
+    t, memo = _tokenizer(path), _words.setdefault(path, Memo(MEMO))
     split = [_cut(s) for s in texts]
-    new = list({w for words in split if words for w in words}.difference(memo))
-    if len(memo) + len(new) > MEMO:
-        memo.clear()
-        new = list({w for words in split if words for w in words})
+    ids = {w: memo.get(w) for w in {w for words in split if words for w in words}}
+    new = [w for w, found in ids.items() if found is None]
     if new:
-        memo.update(zip(new, _encode_words(path, new), strict=True))
+        for w, found in zip(new, _encode_words(path, new), strict=True):
+            ids[w] = found
+            memo.put(w, found)
     out = []
     for s, words in zip(texts, split, strict=True):
         if words is None:
             out.append(np.asarray(t.encode(s, add_special_tokens=False).ids, "<u4").tobytes())
         else:
-            out.append(b"".join(map(memo.__getitem__, words)))
+            out.append(b"".join(map(ids.__getitem__, words)))
     return out
 
 

@@ -18,7 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabforge.llm.common import frugal, only, prepare, slices
+from tabforge.llm.common import frugal, keeps, only, prepare, slices
 
 ROUNDS = 8
 KINDS = ("email", "card", "iban", "ssn", "phone", "ip", "date", "secret")
@@ -327,6 +327,7 @@ class Pseudonyms:
 
 
 _made: dict[tuple, Pseudonyms] = {}
+keeps(_made.clear, __name__)
 
 
 def pseudonymise(df: DataFrame, key: bytes, text: str = "text", keep: tuple[str, ...] | None = None,

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tabforge.llm.common import keeps
+
 SEGMENT = 1 << 20       # bytes hashed at once; bounds the temporaries
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -17,6 +19,7 @@ _BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
+keeps(_powers.clear, __name__, "tabforge.llm.minhash")
 
 
 def _power(inverse: bool, n: int) -> np.ndarray:

@@ -14,9 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import batches_of_text, frugal, only, prepare
+from tabforge.llm.common import batches_of_text, frugal, keeps, only, prepare
 
 _loaded: dict[str, object] = {}
+keeps(_loaded.clear, __name__)
 
 
 def _tokenizer(path: str):

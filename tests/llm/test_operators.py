@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tabforge.llm import bpe, ecoc, metric_join, minhash, packing, pii, queries, sharding, token_cache, toxicity, winnow
+from tabforge.llm import bpe, common, ecoc, metric_join, minhash, packing, pii, queries, sharding, token_cache, toxicity, winnow
 from tabforge.llm.shingles import shingle_sets
 from tests.conftest import SF001
 
@@ -366,3 +367,24 @@ def test_near_duplicates_stage_decides_by_row(spark):
     assert got == {(1, a): 1, (2, b): 1, (3, c): 1, (3, d): 1, (None, "no copy of this text"): 1, (4, None): 2, (5, ""): 1,
                    (6, "\t \n"): 1}
     assert C.drop_near_duplicates(spark, rows.limit(0), SF001).count() == 0
+
+
+def test_bpe_is_linear_in_long_texts():
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    enc = bpe.encoder(path, P.PATTERN)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=enc.ranks, special_tokens={})
+    assert P.PATTERN in bpe.APART
+    for text in ("\xa0" + "some words here " * 320_000, "a12!" * 250_000, "中文字符" * 100_000):
+        start = time.time()
+        ids = enc.encode(text)
+        assert time.time() - start < 30 and ids == lib.encode_ordinary(text)
+    other = bpe.Encoder({bytes([i]): i for i in range(256)} | {b"a b": 256}, r"a b|\s+|\S")
+    assert other.encode("a b") == [256]     # a pattern that joins across a blank: matched whole
+
+
+def test_memory_of_workers_is_bounded_in_bytes():
+    memo = common.Memo(1 << 16)
+    for i in range(20_000):
+        memo.put(f"word{i}", b"x" * 20)
+        assert memo.get("word0") == b"x" * 20       # what is asked for lives on
+    assert len(memo.young) + len(memo.old) < 1000 and memo.get("word5000") is None

@@ -1,5 +1,32 @@
-"""DuckDB SQL for the operator queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express on whole
+tables; the others are held against brute force in ``tests/llm``."""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+_OP12 = f"""
+WITH doc_terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), {_TERMS})) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term),
+factors AS (SELECT doc_id, 100 - 75 + (75 * n * n_docs) // n_terms AS m FROM lengths, corpus),
+item_terms AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, {_LOWER}), {_TERMS})) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM item_terms JOIN weights USING (term) JOIN tf USING (term) JOIN factors USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS "rank", doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op12_lexical_search": _OP12}

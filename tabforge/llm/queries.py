@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm import (bpe, ecoc, lexical, metric_join, minhash, packing, pii, sharding, token_cache, toxicity, winnow)
+from tabforge.llm import (bpe, ecoc, lexical, metric_join, minhash, packing, pii, sharding, spelling, token_cache,
+                          toxicity, winnow)
 from tabforge.llm.common import Scratch, crc_mod, join_ids, partitions, prepare
 from tabforge.llm.oracle import ORACLE_SQL  # noqa: F401
 from tabforge.sources.tables import table
@@ -143,6 +144,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letters are dropped from about one run in 199, as the contract says."""
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), every=199, least=6, often=5)
+    return spelling.variants(words, ratio=5).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -156,5 +163,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_near_dedup, op2_sharding, op3_language_id, op4_minhash_near_dedup,
                             op5_byte_bpe, op6_fingerprints, op7_toxicity, op8_token_counts, op9_pii, op10_packing,
-                            op12_lexical_search, pipeline)
+                            op11_spelling_variants, op12_lexical_search, pipeline)
 }

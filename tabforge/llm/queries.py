@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm import (bpe, ecoc, lexical, metric_join, minhash, packing, pii, sharding, spelling, token_cache,
+from tabforge.llm import (bpe, ecoc, lexical, metric_join, minhash, packing, pii, repeats, sharding, spelling, token_cache,
                           toxicity, winnow)
 from tabforge.llm.common import Scratch, crc_mod, join_ids, partitions, prepare
 from tabforge.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -154,6 +154,13 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All places of a repeated string go, the first one too."""
+    made = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400, first=False, keep=("doc_id",))
+    return made.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -163,5 +170,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_near_dedup, op2_sharding, op3_language_id, op4_minhash_near_dedup,
                             op5_byte_bpe, op6_fingerprints, op7_toxicity, op8_token_counts, op9_pii, op10_packing,
-                            op11_spelling_variants, op12_lexical_search, pipeline)
+                            op11_spelling_variants, op12_lexical_search, op13_suffix_array_dedup,
+                            pipeline)
 }

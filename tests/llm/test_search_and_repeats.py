@@ -8,10 +8,11 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.llm import lexical, queries, spelling
+from tabforge.llm import lexical, queries, repeats, spelling
 from tabforge.llm.common import Scratch
 from tests.conftest import SF001
 
@@ -172,3 +173,79 @@ def test_search_with_copies_ties_and_blocks(spark, edge, monkeypatch):
 def test_terms_of_long_texts_cross_segments():
     text = "Wörd x1_y " * 300_000
     assert [t for part in lexical.terms(text) for t in part] == [t.encode() for t in _terms(text)]
+
+
+def _removed(rows, length, first):
+    """Per row the bytes covered by strings that start elsewhere too; with
+    ``first``, at an earlier place.  Equal rows are one place then."""
+    data = [(text or "").encode() for _, text in rows]
+    order = {i: (key is None, key or 0, hashlib.sha256(d).digest()[:16]) for i, ((key, _), d) in enumerate(zip(rows, data))}
+    places = defaultdict(list)
+    for i, d in enumerate(data):
+        for a in range(len(d) - length + 1):
+            places[d[a:a + length]].append((*order[i], a))
+    out = []
+    for i, d in enumerate(data):
+        gone = np.zeros(len(d) + 1, bool)
+        for a in range(len(d) - length + 1):
+            at = places[d[a:a + length]]
+            if min(at) < (*order[i], a) if first else len(at) > 1:
+                gone[a:a + length] = True
+        out.append((len(d), int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0]),
+                    bytes(b for b, g in zip(d, gone) if not g)))
+    return out
+
+
+def _repeat_rows():
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 150)))) for i in range(40)]
+    rows += [(100 + i, f"{rng.randrange(10 ** 9)} {passage} {rng.randrange(10 ** 9)}") for i in range(30)]
+    rows += [(200 + i, f"{i}{passage[i:60 + i]}{i}") for i in range(20)]
+    rows += [(300, "aaaaaaaaaa" * 30), (301, "xyz" * 60), (302, "é" * 70), (303, "b" + "a" * 60), (304, passage * 2)]
+    rows += [(400 - i, passage[:50] + " copy") for i in range(10)] + [(410, passage[:50] + " copy")] * 4
+    return rows + [(None, passage), (None, passage), (None, None), (5, None), (6, ""), (7, passage[:19]), (None, rows[3][1])]
+
+
+@pytest.mark.parametrize("part", [1, 700, 1 << 21])
+@pytest.mark.parametrize("first", [True, False])
+def test_repeats_match_brute_force(spark, first, part, monkeypatch):
+    rows = _repeat_rows()
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row long, doc_id long, text string") \
+        .withColumn("key", F.lit("x")).withColumn("data", F.lit(1)).repartition(5)
+    got = sorted(repeats.remove_repeats(df, length=20, first=first, keep=("row", "key"), part=part).collect())
+    assert [r["row"] for r in got] == list(range(len(rows)))
+    made = [(r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got]
+    assert made == _removed(rows, 20, first)
+
+
+def test_repeats_query_matches_brute_force(spark, docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = {i: (*w[:3], hashlib.sha256(w[3]).hexdigest()) for (i, _), w in zip(rows, _removed(rows, 400, False))}
+    got = queries.op13_suffix_array_dedup(spark, SF001).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
+    assert len(got) == len(want) and any(w[1] for w in want.values())
+
+
+def test_repeats_edges(spark, edge):
+    got = repeats.remove_repeats(edge, keep=("doc_id", "digest")).collect()
+    assert len(got) == len(EDGE) and all(r["n_removed"] == 0 for r in got if r["doc_id"] != 4)
+    assert repeats.remove_repeats(edge.limit(0)).count() == 0
+    long = next(r for r in got if r["doc_id"] == 4)
+    assert long["n_bytes"] == len(LONG) and [tuple(s) for s in long["spans"]] == [(8, len(LONG) - 8)]
+
+
+def test_blocks_and_suffix_names():
+    rng = np.random.default_rng(3)
+    data = np.r_[rng.integers(0, 3, 900), np.zeros(300, int), np.tile([1, 2, 3], 100)].astype(np.uint8)
+    for length, gram in ((2, 1), (30, 7), (64, 32)):
+        covered = []
+        for first, many, part, twice in repeats.blocks(data, length, gram):
+            for a, n, p, t in zip(first, many, part, twice):
+                covered += range(a, a + n)
+                strings = [data[s:s + length].tobytes() for s in range(a, a + n)]
+                assert t or len(set(strings)) == n
+        assert covered == list(range(len(data) - length + 1))
+        names = repeats.suffix_names(data, length)[:len(data) - length + 1]
+        strings = [data[s:s + length].tobytes() for s in range(len(names))]
+        assert np.unique(strings, return_inverse=True)[1].tolist() == np.unique(names, return_inverse=True)[1].tolist()

@@ -1,10 +1,10 @@
 """Encoding and augmentation.
 
-Category lists decide the output *schema*, so they are fitted once with a
-distributed ``distinct`` and brought to the driver as a bounded list
-(``max_categories`` per column is checked, never silently cut).  Applying
-an encoding is then one ``select`` of flag expressions: no pivot job, no
-join, and every flag stays in whole-stage codegen.
+Categories have two forms.  Long or sparse: a dictionary table numbers
+them, and rows meet it by a join, so their number has no bound and none
+reaches the driver.  Wide: a given list of categories is a list of columns,
+and applying it is one ``select`` of flag expressions, without a join, in
+whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -17,36 +17,107 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.contract import flag
+from ..session import written
+from .joins import join_measured
+from .prefix import numbered
+from .project import align  # noqa: F401  (J07)
 
-MAX_CATEGORIES = 1000
+SEP = "="
 
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def fit_categories(df: DataFrame, cols: Sequence[str] | None = None,
-                   max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Distinct non-missing values per column, sorted (E01 fit).
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
-    One distributed job: the columns are unpivoted into (column, value)
-    pairs and de-duplicated by Spark; only the distinct pairs reach the
-    driver, and a column with more than ``max_categories`` values raises.
-    """
+
+# --- long and sparse forms: any number of categories --------------------------------------
+
+
+def fit_dictionary(df: DataFrame, cols: Sequence[str] | None = None, numbers: Sequence[str] = (), sep: str = SEP
+                   ) -> DataFrame:
+    """E01/E03 fit for any number of categories: ``column, value, feature,
+    index`` with one row per distinct non-missing value of each column, and
+    one per number column (its value is null).  ``feature`` is
+    ``column{sep}value`` (a number's own name), and ``index`` its place in
+    ascending order of the features, without gaps.
+
+    The distinct pairs are found by a partial aggregate and numbered by
+    ranges (``prefix.numbered``); nothing but the rows per range is counted
+    together, and no category reaches the driver."""
+    cols = list(cols) if cols is not None else string_columns(df)
+    spark = df.sparkSession
+    found = spark.createDataFrame([(c, None, c) for c in numbers], "column string, value string, feature string")
+    if cols:
+        pairs = _pairs(df, cols).where(F.col("value").isNotNull()).distinct()
+        found = pairs.select("column", "value", F.concat("column", F.lit(sep), "value").alias("feature")).unionByName(found)
+    return written(numbered(found, ["feature", "column"], "index"), "dictionary")
+
+
+def _pairs(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.column", "_p.value")
+
+
+def encode_long(df: DataFrame, id_col: str, dictionary: DataFrame, cols: Sequence[str] | None = None,
+                numbers: Sequence[str] = ()) -> DataFrame:
+    """E01/E03 in long form: ``id, index, feature, value`` with one row per
+    feature of a row that is not 0: 1.0 for a fitted category, the number
+    itself for a number column.  Missing and unseen values give no row (C17).
+
+    The dictionary is broadcast only if its measured size allows; otherwise
+    (column, value) meets it by a shuffle join, hot values split by AQE."""
+    cols = list(cols) if cols is not None else string_columns(df)
+    names = dictionary.select("column", "value", "feature", "index")
+    out = None
+    if cols:
+        flags = _pairs(df, cols, [id_col]).where(F.col("value").isNotNull())
+        out = join_measured(flags, names.where(F.col("value").isNotNull()), ["column", "value"], "inner") \
+            .select(id_col, "index", "feature", F.lit(1.0).alias("value"))
+    if numbers:
+        given = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("number")) for c in numbers])
+        long = df.select(id_col, F.explode(given).alias("_p")).select(id_col, "_p.column", "_p.number").where("number != 0")
+        own = names.where(F.col("value").isNull()).select("column", "feature", "index")    # one row per number column
+        part = long.join(F.broadcast(own), "column").select(id_col, "index", "feature", F.col("number").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def encode_sparse(df: DataFrame, id_col: str, dictionary: DataFrame, cols: Sequence[str] | None = None,
+                  numbers: Sequence[str] = ()) -> DataFrame:
+    """The same as one row per row of ``df``: ``id, size, indices, values``,
+    indices ascending (the parts of a sparse vector)."""
+    long = encode_long(df, id_col, dictionary, cols, numbers)
+    parts = long.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("index", "value"))).alias("_e"))
+    size = dictionary.agg(F.count(F.lit(1)).alias("size"))
+    empty = F.array().cast("array<struct<index: bigint, value: double>>")
+    return (df.select(id_col).join(parts, id_col, "left").withColumn("_e", F.coalesce("_e", empty))
+            .join(F.broadcast(size))                                    # one row
+            .select(id_col, "size", F.col("_e.index").alias("indices"), F.col("_e.value").alias("values")))
+
+
+def common_features(a: DataFrame, b: DataFrame) -> DataFrame:
+    """J07 on dictionaries: the features that both splits have, numbered
+    anew, so that two splits get equal columns however many there are."""
+    both = a.select("column", "value", "feature").join(b.select("feature"), "feature", "left_semi")
+    return written(numbered(both, ["feature", "column"], "index"), "dictionary")
+
+
+# --- wide form: one column per category of a given list ---------------------------------------
+
+
+def fit_categories(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, list]:
+    """Distinct non-missing values per column, sorted, as lists for a wide
+    frame: one distributed job, and as many values on the driver as the
+    frame will have columns.  For columns with many values use the long or
+    sparse form (``fit_dictionary``), whose lists never leave the cluster."""
     cols = list(cols) if cols is not None else string_columns(df)
-    if not cols:
-        return {}
-    pairs = (df.select([F.col(c).cast("string").alias(c) for c in cols])
-             .unpivot([], cols, "column", "value")
-             .where(F.col("value").isNotNull())
-             .distinct())
-    counts = pairs.groupBy("column").count().collect()
-    too_many = {r["column"]: r["count"] for r in counts if r["count"] > max_categories}
-    if too_many:
-        raise ValueError(f"too many categories to one-hot: {too_many}")
     out: dict[str, list] = {c: [] for c in cols}
-    for r in pairs.collect():
-        out[r["column"]].append(r["value"])
+    if cols:
+        for r in _pairs(df, cols).where(F.col("value").isNotNull()).distinct().collect():
+            out[r["column"]].append(r["value"])
     return {c: sorted(v) for c, v in out.items()}
 
 
@@ -123,21 +194,16 @@ def noisy_copies(df: DataFrame, id_col: str, id_shift: int, offsets: Sequence[Ma
                  distinct_ids: bool = False) -> DataFrame:
     """The original rows plus one shifted copy per offset set.
 
-    Each copy is a projection with literal offsets, and the copies are
-    unioned: no join, no shuffle.  By default every copy gets
-    ``id + id_shift`` like the reference; ``distinct_ids`` gives copy i the
-    shift ``i * id_shift`` instead.
+    The rows are scanned once: each is exploded over the original and the
+    copies, a literal list of offsets.  No join, no shuffle.  By default
+    every copy gets ``id + id_shift`` like the reference; ``distinct_ids``
+    gives copy i the shift ``i * id_shift`` instead.
     """
-    out = df
-    for i, offs in enumerate(offsets, start=1):
-        shift = id_shift * i if distinct_ids else id_shift
-        exprs = {id_col: F.col(id_col) + shift}
-        exprs.update({c: F.col(c) + o for c, o in offs.items()})
-        out = out.unionByName(df.withColumns(exprs))
-    return out
-
-
-def align(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keep the columns present in both frames, in ``a``'s order."""
-    common = [c for c in a.columns if c in set(b.columns)]
-    return a.select(*common), b.select(*common)
+    moved = list(dict.fromkeys([id_col, *(c for o in offsets for c in o)]))
+    copies = []
+    for i, offs in enumerate([{}, *offsets]):
+        shift = id_shift * (i if distinct_ids else min(i, 1))
+        by = {id_col: shift, **offs}
+        copies.append(F.struct(*[(F.col(c) + by.get(c, 0)).alias(c) for c in moved]))
+    out = df.withColumn("_copy", F.explode(F.array(*copies)))
+    return out.select(*[F.col(f"_copy.{c}").alias(c) if c in moved else F.col(c) for c in df.columns])

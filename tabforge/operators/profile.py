@@ -3,8 +3,8 @@
 Drawing is out of scope; every chart's *data* is a small DataFrame built
 by distributed aggregates.  Wide statistics are computed in one ``agg``
 pass and unpivoted, histograms bin with column arithmetic against bounds
-from one min/max pass, and densities evaluate a fixed grid per distinct
-value (a generator + partial aggregate, never a join of data x grid).
+from one min/max pass, and densities sum kernels at blocks of grid points
+within reach of each distinct value (never a join of data x grid).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.contract import safe_corr
-from .joins import join_measured
+from ..session import written
+from .joins import join_measured, measured
 from .quantile import exact_quantiles_multi, group_quantiles
 
 # --- D01-D05 ---------------------------------------------------------------------------------
@@ -129,34 +130,57 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
 # --- D09-D11: densities and box statistics ------------------------------------------------------
 
 
+REACH = 39.0      # bandwidths beyond which a Gaussian kernel is 0 in double precision
+GRID_BLOCK = 32   # grid points summed side by side in one aggregate
+
+
 def kde(df: DataFrame, col: str, by: str | None = None, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per class on an even grid.
 
     Bandwidth by Scott's rule (``std * n^(-1/5)``, per class); the grid
-    spans ``[min - cut*bw, max + cut*bw]`` of the class.  Values are first
-    collapsed to (class, value, weight); each distinct value then emits
-    its kernel at every grid point (an ``explode`` of a fixed-size
-    sequence) and a partial aggregate sums them per grid point.
+    spans ``[min - cut*bw, max + cut*bw]`` of the class.  Rows collapse to
+    (class, value, weight).  Grid points stand in blocks; a value goes to the
+    blocks within reach of its kernel (the larger the class, the narrower
+    its bandwidth, the fewer), and one partial aggregate per (class, block)
+    sums the kernels at all points of the block side by side.  A class with
+    one value has no bandwidth and null densities.
     """
     x = F.col(col).cast("double")
     data = df.where(x.isNotNull())
     if by is None:                      # one class: a literal key
         data, by = data.withColumn("_class", F.lit(0)), "_class"
-    keys = [F.col(by)]
-    stats = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"),
-                                    F.min(x).alias("lo"), F.max(x).alias("hi"))
-    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))
-    stats = stats.withColumn("g0", F.col("lo") - F.lit(cut) * F.col("bw")).withColumn(
-        "step", (F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("bw")) / F.lit(gridsize - 1))
-    weights = data.groupBy(*keys, x.alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    # one stats row per class: measured, then broadcast
+    weights = written(data.groupBy(F.col(by), x.alias("v")).agg(F.count(F.lit(1)).alias("w")), "weights")
+    n, total = F.sum("w"), F.sum(F.col("w") * F.col("v"))
+    sq = F.sum(F.col("w") * (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean")))
+    means = weights.groupBy(by).agg(n.cast("double").alias("n"), (total / n).alias("mean"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    means, fits = measured(means)       # one row per class
+    means = F.broadcast(means) if fits else means
+    spread = weights.join(means, by).groupBy(by).agg(F.sqrt(F.try_divide(sq, F.first("n") - 1)).alias("sd"))
+    stats = means.join(spread, by).withColumn("bw", F.nullif(F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)), F.lit(0.0))) \
+        .withColumn("g0", F.col("lo") - F.lit(cut) * F.col("bw")) \
+        .withColumn("step", (F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("bw")) / F.lit(gridsize - 1)) \
+        .select(by, "n", "bw", "g0", "step")
     joined = join_measured(weights, stats, by, "inner")
-    g = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi")
-    grid = joined.select(*keys, "v", "w", "n", "bw", "g0", "step", g)
-    gx = F.col("g0") + F.col("gi") * F.col("step")
-    z = (gx - F.col("v")) / F.col("bw")
-    dens = F.col("w") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
-    return (grid.groupBy(*keys, "gi").agg(F.first(gx).alias("x"), F.sum(dens).alias("density")))
+    last = (gridsize - 1) // GRID_BLOCK
+
+    def block(edge: Column) -> Column:
+        return F.greatest(F.lit(0), F.least(F.lit(last), F.floor((edge - F.col("g0")) / F.col("step") / GRID_BLOCK))).cast("int")
+
+    reach = F.lit(REACH) * F.col("bw")
+    within = F.coalesce(F.sequence(block(F.col("v") - reach), block(F.col("v") + reach)), F.sequence(F.lit(0), F.lit(last)))
+    z = [(F.col("g0") + (F.col("block") * GRID_BLOCK + j) * F.col("step") - F.col("v")) / F.col("bw") for j in range(GRID_BLOCK)]
+    scale = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
+    sums = joined.withColumn("block", F.explode(within)).groupBy(by, "block").agg(
+        F.first("g0").alias("g0"), F.first("step").alias("step"),
+        *[F.sum(F.col("w") * F.exp(-0.5 * z[j] * z[j]) / scale).alias(f"d{j}") for j in range(GRID_BLOCK)])
+    points = sums.select(by, "block", "g0", "step", F.posexplode(F.array(*[f"d{j}" for j in range(GRID_BLOCK)])).alias("j", "density"))
+    gi = (F.col("block") * GRID_BLOCK + F.col("j")).cast("int")
+    found = points.select(by, gi.alias("gi"), (F.col("g0") + gi * F.col("step")).alias("x"), "density").where(F.col("gi") < gridsize)
+    # blocks out of every value's reach have density 0
+    grid = stats.select(by, F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"), "g0", "step") \
+        .select(by, "gi", (F.col("g0") + F.col("gi") * F.col("step")).alias("x"))
+    return grid.join(found.drop("x"), [by, "gi"], "left") \
+        .select(by, "gi", "x", F.when(F.col("x").isNotNull(), F.coalesce("density", F.lit(0.0))).alias("density"))
 
 
 def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:

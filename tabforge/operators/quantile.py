@@ -24,6 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+from .prefix import range_count, search
+
 ACCURACY = 100_000
 
 
@@ -103,47 +106,71 @@ def _order_statistics(df: DataFrame, x: dict[str, Column], targets: Sequence[tup
     return picks
 
 
-def _range_of(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
-    """The number of cut points below ``value``, as a balanced tree of tests."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(value <= cuts[mid], _range_of(value, cuts[:mid], first)) \
-        .otherwise(_range_of(value, cuts[mid + 1:], first + mid + 1))
-
-
 def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequence[float],
                     names: Sequence[str], ranges: int | None = None) -> DataFrame:
-    """Exact per-group quantiles (linear interpolation) as a DataFrame.
-
-    1. One sketch over the column gives the cut points of ``ranges`` value
-       ranges with about equal numbers of rows (default: as many as there
-       are shuffle partitions, so a range keeps its size as data and
-       cluster grow).
-    2. Rows collapse to (keys, value, count) in a partial aggregate, so a
-       group costs its number of *distinct* values, not its rows.
-    3. Per (group, range) totals give each range its offset within the
+    """Exact per-group quantiles (linear interpolation) as a DataFrame, one
+    scan of the rows.  Groups with a missing key are dropped (C3)."""
+    keys = list(keys)
+    cond = F.col(column).isNotNull()
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    counts = df.where(cond).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    counts = written(counts.withColumn("_col", F.lit(0)), "values")
+    return _quantiles(counts, keys, probs, names, 1, ranges)
+
+
+def grouping_quantiles(df: DataFrame, sets: Sequence[Sequence[str]], columns: Sequence[str], probs: Sequence[float],
+                       names: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Exact quantiles of several columns for several key sets together.
+
+    One pass over the rows counts (key set, keys, column, value): rows are
+    unpivoted to (column, value) and grouped by ``GROUPING SETS``, combined
+    before the shuffle.  One split into value ranges per column and one
+    table of offsets serve all sets.  Rows of the result: all keys (null
+    where a set does not have them), ``_gid`` (``grouping_id()`` over the
+    keys in order of first use), ``_col`` (index into ``columns``) and
+    ``names``.  Groups with a missing key of their set are dropped (C3)."""
+    all_keys = list(dict.fromkeys(k for keys in sets for k in keys))
+    values = F.array(*[F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
+    long = df.select(*all_keys, F.explode(values).alias("_e")).select(*all_keys, "_e.*").where(F.col("_v").isNotNull())
+    counts = long.groupingSets([[*keys, "_col", "_v"] for keys in sets], *all_keys, "_col", "_v") \
+        .agg(F.count(F.lit(1)).alias("_c"), F.shiftright(F.grouping_id(), 2).cast("long").alias("_gid"))
+    n, present = len(all_keys), F.lit(False)
+    for keys in sets:
+        own = F.col("_gid") == sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+        for k in keys:
+            own = own & F.col(k).isNotNull()
+        present = present | own
+    return _quantiles(written(counts.where(present), "values"), [*all_keys, "_gid"], probs, names, len(columns), ranges,
+                      by_column=True)
+
+
+def _quantiles(counts: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str], columns: int,
+               ranges: int | None, by_column: bool = False) -> DataFrame:
+    """Quantiles per (keys, column) from a stored table of ``keys, _col, _v,
+    _c`` (value and how often).
+
+    1. One sketch per column over the distinct values cuts them into
+       ``ranges`` value ranges (default: as many as shuffle partitions, so a
+       range keeps its size as data and cluster grow).
+    2. Per (group, range) totals give each range its offset within the
        group (a window over at most ``ranges`` rows per group); only the
        ranges that hold a wanted rank are kept.
-    4. Those join back, and a window partitioned by (group, range) adds the
+    3. Those join back, and a window partitioned by (group, range) adds the
        running count.  However many rows a group has, a window task holds
        one range of it; the cut points only balance the work, the ranks
        stay exact.
-
-    Groups with a missing key are dropped (C3).
     """
-    keys = list(keys)
-    cond = F.col(column).isNotNull()
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    value = F.col(column).cast("double")
-    cuts = []
+    ranges = ranges or range_count(counts)
+    cuts: list[list[float]] = [[] for _ in range(columns)]
     if ranges > 1:
-        sketch = df.agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
-        cuts = sorted(set(sketch or []))
-    counts = (df.where(cond).groupBy(*keys, value.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-              .withColumn("_r", _range_of(F.col("_v"), cuts)))
+        sketch = F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 20 * ranges)
+        for r in counts.groupBy("_col").agg(sketch.alias("q")).collect():     # one row per column
+            cuts[r["_col"]] = sorted(set(r["q"] or []))
+    table = F.array(*[F.array(*[F.lit(float(c)) for c in own]).cast("array<double>") for own in cuts])
+    own = F.get(table, F.col("_col"))
+    counts = counts.withColumn("_r", search(F.col("_v"), own, F.size(own), max(map(len, cuts))))
+    keys = [*keys, "_col"]
     group = Window.partitionBy(*keys)
     before = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     offs = (counts.groupBy(*keys, "_r").agg(F.sum("_c").alias("_rc"))
@@ -157,8 +184,12 @@ def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequ
         ranks.append((pos, lo, hi))
         for k in (lo, hi):
             holds = holds | ((F.col("_off") <= k) & (k < F.col("_off") + F.col("_rc")))
+    wanted = offs.where(holds).drop("_rc").withColumnsRenamed({k: f"_of_{k}" for k in [*keys, "_r"]})
+    match = F.lit(True)
+    for k in [*keys, "_r"]:      # keys that are not in a row's set are null on both sides
+        match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     upto = Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts.join(offs.where(holds).drop("_rc"), on=[*keys, "_r"], how="inner")
+    ranked = (counts.join(wanted, match)
               .select(*keys, "_v", (F.col("_off") + F.sum("_c").over(upto)).alias("_cum"), "_n"))
     aggs, outs = [], []
     for i, (pos, lo, hi) in enumerate(ranks):
@@ -166,4 +197,4 @@ def group_quantiles(df: DataFrame, column: str, keys: Sequence[str], probs: Sequ
                  F.min(F.when(F.col("_cum") > hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.first(pos - lo).alias(f"_f{i}")]
         outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i]))
-    return ranked.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return ranked.groupBy(*keys).agg(*aggs).select(*(keys if by_column else keys[:-1]), *outs)

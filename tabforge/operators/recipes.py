@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.contract import agg_by_name, all_not_null
 from ..session import written
 from .joins import broadcast_limit, join_measured, row_width, text_bytes
-from .quantile import group_quantiles
+from .quantile import grouping_quantiles
 
 Spec = tuple[str, str]
 Recipe = tuple[Sequence[str], Sequence[Spec]]
@@ -65,17 +65,17 @@ def _gid(keys: Sequence[str], all_keys: Sequence[str]) -> int:
 
 def _stats_plan(df: DataFrame, recipes: Sequence[Recipe], keep: Callable[[DataFrame], DataFrame] | None = None):
     """(combined, [(keys, stats)]): every key set from ONE aggregation.
-    ``keep`` stores the combined table, so that the key sets' slices read
-    what was stored instead of each repeating the aggregation.
+    ``keep`` stores the combined table, medians included, so that the key
+    sets' slices read what was stored instead of each repeating the work.
 
     With several key sets the source is scanned once: ``GROUPING SETS``
     expands each row once per set before the partial aggregation, and each
     set's rows are picked out by ``grouping_id()``.  Groups with a missing
     key (C3) are exactly the groups whose set keys hold a NULL, so they are
-    dropped after the aggregation.  Medians are holistic: they come from
-    ``group_quantiles`` (distinct-value counts + a spillable running count)
-    and are joined on the keys, so a hot group never sits in one in-memory
-    aggregation buffer.
+    dropped after the aggregation.  Medians are holistic: those of all key
+    sets and columns come from one more pass that counts (key set, keys,
+    column, value) (``grouping_quantiles``), so a hot group never sits in
+    one in-memory aggregation buffer.
     """
     merged = _merged(recipes)
     all_keys: list[str] = []
@@ -88,37 +88,47 @@ def _stats_plan(df: DataFrame, recipes: Sequence[Recipe], keep: Callable[[DataFr
     def tmp(c, a):
         return f"__{a}__{c}"
 
-    exprs = [agg_by_name(a, c).alias(tmp(c, a)) for c, a in plain]
+    medians = list(dict.fromkeys(c for _, specs in merged for c, a in specs if a == "median"))
+    exprs = [agg_by_name(a, c).alias(tmp(c, a)) for c, a in plain] or [F.count(F.lit(1)).alias("_n")]
     if len(merged) == 1:
         keys = list(merged[0][0])
         # a missing-key group holds exactly the missing-key rows: dropping it
         # after the aggregate equals filtering first (C3), with each key
         # expression evaluated once
-        combined = (df.groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_n")]))
-                    .where(all_not_null(keys)))
-        gid = None
+        combined = df.groupBy(*keys).agg(*exprs).where(all_not_null(keys)).withColumn("_gid", F.lit(0).cast("long"))
     else:
         combined = df.groupingSets([list(k) for k, _ in merged], *all_keys).agg(
-            *exprs, F.grouping_id().alias("_gid"))
-        gid = True
+            *exprs, F.grouping_id().cast("long").alias("_gid"))
+    if medians:
+        sets = [list(k) for k, specs in merged if any(a == "median" for _, a in specs)]
+        found = grouping_quantiles(df, [list(k) for k, _ in merged], medians, [0.5], ["_q"]) \
+            if len(sets) == len(merged) else _spread(grouping_quantiles(df, sets, medians, [0.5], ["_q"]), sets, all_keys)
+        wide = found.groupBy("_gid", *all_keys).agg(
+            *[F.max(F.when(F.col("_col") == i, F.col("_q"))).alias(tmp(c, "median")) for i, c in enumerate(medians)])
+        wide = wide.withColumnsRenamed({k: f"_of_{k}" for k in ["_gid", *all_keys]})
+        match = F.lit(True)
+        for k in ["_gid", *all_keys]:        # keys outside a row's set are null on both sides
+            match = match & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        combined = combined.join(wide, match, "left").drop(*[f"_of_{k}" for k in ["_gid", *all_keys]])
     if keep:
         combined = keep(combined)
     parts = []
     for keys, specs in merged:
         keys = list(keys)
-        part = combined
-        if gid:
-            part = part.where((F.col("_gid") == _gid(keys, all_keys)) & all_not_null(keys))
-        part = part.select(*keys, *[F.col(tmp(c, a)).alias(stat_name(keys, a, c))
-                                    for c, a in specs if a != "median"])
-        for c, _ in [(c, a) for c, a in specs if a == "median"]:
-            m = group_quantiles(df.where(all_not_null(keys)), c, keys, [0.5], [stat_name(keys, "median", c)])
-            part = part.join(m, on=keys, how="left")
-        part = part.select(*keys, *[stat_name(keys, a, c) for c, a in specs])
-        parts.append((tuple(keys), part))
+        part = combined.where((F.col("_gid") == _gid(keys, all_keys)) & all_not_null(keys))
+        parts.append((tuple(keys), part.select(*keys, *[F.col(tmp(c, a)).alias(stat_name(keys, a, c)) for c, a in specs])))
     return combined, parts
 
 
+def _spread(found: DataFrame, sets: Sequence[Sequence[str]], all_keys: Sequence[str]) -> DataFrame:
+    """Quantiles of some of the key sets under the grouping ids of all."""
+    own = list(dict.fromkeys(k for keys in sets for k in keys))
+    gid = F.lit(None).cast("long")
+    for keys in sets:
+        gid = F.when(F.col("_gid") == _gid(keys, own), F.lit(_gid(keys, all_keys)).cast("long")).otherwise(gid)
+    return found.withColumn("_gid", gid).withColumns({k: F.lit(None) for k in all_keys if k not in own})
+
+
 def aggregate(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[str, ...], DataFrame]]:
     """One statistics frame per key set, keys with missing values
     dropped; all key sets come from a single aggregation pass."""
@@ -133,13 +143,12 @@ def stored_stats(df: DataFrame, recipes: Sequence[Recipe]) -> list[tuple[tuple[s
     limit = broadcast_limit(df)
     if limit < 0:
         return parts
-    by = ["_gid"] if len(parts) > 1 else []
-    sizes = {r["_gid"] if by else None: r for r in
-             combined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), text_bytes(combined).alias("b")).collect()}
+    sizes = {r["_gid"]: r for r in
+             combined.groupBy("_gid").agg(F.count(F.lit(1)).alias("n"), text_bytes(combined).alias("b")).collect()}
     all_keys = [k for k in dict.fromkeys(k for keys, _ in parts for k in keys)]
     out = []
     for keys, part in parts:
-        size = sizes.get(_gid(keys, all_keys) if by else None)
+        size = sizes.get(_gid(keys, all_keys))
         fits = size is None or size["n"] * row_width(part) + size["b"] <= limit
         out.append((keys, F.broadcast(part) if fits else part))
     return out

@@ -12,11 +12,9 @@ Scale notes
   observed (bucket, key), bounded by the time span x keys, not by rows.
 * ``rolling_mean`` windows over that small bucket table per key.
 * ``trailing_count`` never uses an unpartitioned window.  Rows collapse to
-  distinct timestamps first; the count for a timestamp t is whole grains
-  (a sum over the small per-grain table) plus two partial grains, both
-  answered by one window partitioned by grain over the distinct
-  timestamps and a copy shifted by the span.  The largest task holds the
-  distinct timestamps of one grain (x2), however many rows share them.
+  distinct timestamps, stored once; the count is the difference of two
+  running sums over ranges of that table, however the rows are spread over
+  time.
 """
 
 from __future__ import annotations
@@ -24,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .joins import join_measured
+from .prefix import running_sums
 from ..functions.timefn import (MICROS_PER_MINUTE, as_ntz, epoch_micros, floor_to_minutes,
                                 from_epoch_micros, round_to_minutes)
 
@@ -77,51 +77,28 @@ def attach_bucket(df: DataFrame, labelled: DataFrame, ts: str, key: str,
             .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(fill))))
 
 
-def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, grain_seconds: int = 60,
+def trailing_count(df: DataFrame, ts: str, span_minutes: int = 60, ranges: int | None = None,
                    out_col: str = "count_trailing") -> DataFrame:
     """For every row, the rows with a timestamp in ``(t - span, t]``
     over the whole table (tied timestamps all count, C16).
 
     1. Rows collapse to distinct timestamps with a weight (partial
-       aggregate): any number of rows sharing a timestamp is one row.
-    2. Whole grains before t come from the per-grain totals, spread to the
-       grains that follow by ``explode(sequence)`` (a table bounded by the
-       time span, not the data).
-    3. The two partial grains come from ONE window partitioned by grain
-       over the distinct timestamps and a copy shifted by the span: running
-       weight of own timestamps up to t minus shifted ones up to t.
-    4. The per-timestamp counts join back onto the rows by timestamp.
-
-    ``span_minutes * 60`` must be a multiple of ``grain_seconds``; the grain
-    bounds the largest window partition (distinct timestamps of one grain).
+       aggregate): any number of rows sharing a timestamp is one row.  Every
+       timestamp also enters, with the same weight, ``span`` later, where its
+       rows leave the window.  Both are stored as one table.
+    2. Running sums over ranges of that table (``prefix.running_sums``): the
+       count is what entered up to t minus what left up to t.  Ranges are
+       cut by timestamps, not by time, so a burst spreads over tasks.
+    3. The counts join back onto the rows by timestamp.
     """
-    span_s = span_minutes * 60
-    if span_s % grain_seconds:
-        raise ValueError("span must be a multiple of the grain")
-    grain = grain_seconds * 1_000_000
-    span = span_s * 1_000_000
-    steps = span_s // grain_seconds
-
-    per_ts = (df.where(F.col(ts).isNotNull()).groupBy(epoch_micros(ts).alias("_t"))
-              .agg(F.count(F.lit(1)).alias("_w"))
-              .withColumn("_g", F.floor(F.col("_t") / F.lit(grain))))
-    per_grain = per_ts.groupBy("_g").agg(F.sum("_w").alias("_n"))
-    before = (per_grain
-              .select(F.explode(F.sequence(F.col("_g") + 1, F.col("_g") + steps)).alias("_g"), F.col("_n"))
-              .groupBy("_g").agg(F.sum("_n").alias("_full")))
-    own = per_ts.select(F.lit(True).alias("_own"), "_t", "_g", "_w")
-    shifted = per_ts.select(F.lit(False).alias("_own"), (F.col("_t") + span).alias("_t"),
-                            F.floor((F.col("_t") + span) / F.lit(grain)).alias("_g"), "_w")
-    w = (Window.partitionBy("_g").orderBy("_t")
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (own.unionByName(shifted)
-              .select("_own", "_t", "_g",
-                      F.sum(F.when(F.col("_own"), F.col("_w")).otherwise(0)).over(w).alias("_upto"),
-                      F.sum(F.when(~F.col("_own"), F.col("_w")).otherwise(0)).over(w).alias("_gone"))
-              .where(F.col("_own")))
-    counts = (join_measured(ranked, before, "_g", "left")
-              .select("_t", (F.coalesce(F.col("_full"), F.lit(0)) + F.col("_upto") - F.col("_gone"))
-                      .alias(out_col)))
+    span = span_minutes * MICROS_PER_MINUTE
+    moves = F.array(F.struct(F.col("_t"), F.col("_w").alias("_in"), F.lit(0).cast("long").alias("_out")),
+                    F.struct((F.col("_t") + span).alias("_t"), F.lit(0).cast("long").alias("_in"), F.col("_w").alias("_out")))
+    per = written(df.where(F.col(ts).isNotNull()).groupBy(epoch_micros(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_w"))
+                  .select(F.explode(moves).alias("_m")).select("_m.*").groupBy("_t")
+                  .agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out")), "moves")
+    counts = running_sums(per, "_t", {"_came": "_in", "_left": "_out"}, ranges=ranges).where("_in > 0") \
+        .select("_t", (F.col("_came") - F.col("_left")).alias(out_col))
     rows = df.withColumn("_t", epoch_micros(ts))
     # one count per distinct timestamp grows with the data: a shuffle join
     # (AQE splits a hot timestamp), never materialised just to be measured

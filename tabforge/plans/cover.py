@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import encode
+from ..operators import encode, project
 from ..operators.pairs import column_arithmetic, to_sql
 from .common import R, T, finish, query, rnd
 
@@ -175,17 +175,18 @@ def p01_project_label(spark, sf_dir):
 
 def feature_columns(df: DataFrame) -> list[str]:
     """Every column not on the exclusion list, in frame order."""
-    return [c for c in df.columns if c not in set(EXCLUDED)]
+    return project.without(df, EXCLUDED).columns
 
 
-@query("P02_schema_projection", f"""WITH {FEAT_SQL}
-SELECT column_name, CAST(row_number() OVER () AS INTEGER) AS position
-FROM (DESCRIBE SELECT * EXCLUDE ({', '.join(EXCLUDED)}) FROM f3)""")
+@query("P02_schema_projection", f"WITH {COVER_SQL} SELECT * EXCLUDE ({', '.join(EXCLUDED)}) FROM ctrain")
 def p02_schema_projection(spark, sf_dir):
-    df = cover_features(train_split(T(spark, sf_dir)))
-    names = feature_columns(df)
-    return df.sparkSession.createDataFrame([(n, i + 1) for i, n in enumerate(names)],
-                                           "column_name string, position int")
+    return project.without(train_split(T(spark, sf_dir)), EXCLUDED)
+
+
+@query("P02_projection_by_position", f"""WITH {COVER_SQL}
+SELECT Id, Elevation, Aspect, Slope, {H}, {V}, {RD}, {FP}, {H9}, {HN}, {H3} FROM ctrain""")
+def p02_projection_by_position(spark, sf_dir):
+    return project.by_position(train_split(T(spark, sf_dir)), 0, 11)
 
 
 @query("D05_table_profile", f"""WITH {COVER_SQL}

@@ -71,5 +71,5 @@ FROM events e JOIN events p ON p.ts > e.ts - INTERVAL 60 MINUTE AND p.ts <= e.ts
 GROUP BY e.event_id""")
 def w07_trailing_count(spark, sf_dir):
     e = T(spark, sf_dir).events.select("event_id", "ts")
-    return trailing_count(e, "ts", span_minutes=60, grain_seconds=60, out_col="count_60min") \
+    return trailing_count(e, "ts", span_minutes=60, out_col="count_60min") \
         .select("event_id", "count_60min")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -21,22 +22,36 @@ def _fresh(spark, name: str) -> str:
     return shared_path(spark, f"io/{name}/{uuid.uuid4().hex}")
 
 
-def _passenger_csv(spark, sf_dir) -> str:
-    path = _fresh(spark, "passengers")
-    train, _ = passenger.splits(T(spark, sf_dir))
-    csv.write_csv(train, path)
-    return path
+def _passenger_csvs(spark, sf_dir) -> list[tuple[str, str, str]]:
+    """Both splits as CSV: (split, path, schema); the test split has no label."""
+    out = []
+    for name, split in zip(("train", "test"), passenger.splits(T(spark, sf_dir)), strict=True):
+        path = csv.write_csv(split, _fresh(spark, f"passengers_{name}"))
+        out.append((name, path, PASS_SCHEMA if name == "train" else PASS_SCHEMA.removesuffix(", Survived int")))
+    return out
 
 
-@query("S01_csv_scan", f"""WITH {passenger.PASS_SQL}
-SELECT PassengerId, Pclass, Name, Sex, Age, SibSp, Parch, Fare, Embarked, Survived FROM ptrain""")
+def _both(frames) -> DataFrame:
+    train, test = frames
+    return train.unionByName(test, allowMissingColumns=True)
+
+
+_SPLIT_SQL = "SELECT 'train' AS split, {} FROM ptrain UNION ALL SELECT 'test', {} FROM ptest"
+_PASS_COLS = "PassengerId, Pclass, Name, Sex, Age, SibSp, Parch, Fare, Embarked"
+
+
+@query("S01_csv_scan", f"WITH {passenger.PASS_SQL} "
+       + _SPLIT_SQL.format(f"{_PASS_COLS}, CAST(Survived AS DOUBLE) AS Survived", f"{_PASS_COLS}, NULL"))
 def s01_csv_scan(spark, sf_dir):
-    return csv.read_csv(spark, _passenger_csv(spark, sf_dir), PASS_SCHEMA)
+    out = _both(csv.read_csv(spark, path, schema).select(F.lit(name).alias("split"), "*")
+                for name, path, schema in _passenger_csvs(spark, sf_dir))
+    return out.withColumn("Survived", F.col("Survived").cast("double"))
 
 
-@query("S02_csv_pruned_scan", f"WITH {passenger.PASS_SQL} SELECT PassengerId, Name, Fare FROM ptrain")
+@query("S02_csv_pruned_scan", f"WITH {passenger.PASS_SQL} " + _SPLIT_SQL.format("PassengerId, Name, Fare", "PassengerId, Name, Fare"))
 def s02_csv_pruned_scan(spark, sf_dir):
-    return csv.read_csv(spark, _passenger_csv(spark, sf_dir), PASS_SCHEMA, usecols=["PassengerId", "Name", "Fare"])
+    return _both(csv.read_csv(spark, path, schema, usecols=["PassengerId", "Name", "Fare"]).select(F.lit(name).alias("split"), "*")
+                 for name, path, schema in _passenger_csvs(spark, sf_dir))
 
 
 @query("S03_csv_multi_part", f"""WITH {trip.ROUTES_SQL}

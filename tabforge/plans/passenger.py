@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.contract import flag
 from ..functions.scalar import child_or, guarded_log
-from ..operators import clean, encode, metrics, profile
+from ..operators import clean, encode, metrics, profile, project
 from .common import R, T, finish, query
 
 PASS_SQL = """
@@ -170,13 +170,65 @@ def e01_one_hot_strings(spark, sf_dir):
 
 
 @query("J07_schema_join", f"""WITH {PREP_SQL}
-SELECT column_name FROM (DESCRIBE SELECT PassengerId, Pclass, Person, Embarked, Family, Fare, isAlone, Survived FROM tr_prep)
-INTERSECT SELECT column_name FROM (DESCRIBE SELECT PassengerId, Pclass, Person, Embarked, Family, Fare, isAlone FROM te_prep)""")
+SELECT PassengerId, Pclass, Person, Embarked, Family, {R('Fare')} AS Fare, isAlone FROM tr_prep
+UNION ALL SELECT PassengerId, Pclass, Person, Embarked, Family, {R('Fare')}, isAlone FROM te_prep""")
 def j07_schema_join(spark, sf_dir):
+    """The training split has a column more (the label): both splits' rows
+    with the columns they share."""
     train, test = splits(T(spark, sf_dir))
     keep = ["PassengerId"] + SELECTED
-    a, _ = encode.align(prepare(train).select(*keep, "Survived"), prepare(test).select(*keep))
-    return spark.createDataFrame([(c,) for c in a.columns], "column_name string")
+    a, b = encode.align(prepare(train).select(*keep, "Survived"), prepare(test).select(*keep))
+    return finish(a.unionByName(b))
+
+
+@query("P02_projection_by_type", f"WITH {PASS_SQL} SELECT PassengerId, Name, Sex, Embarked FROM ptrain")
+def p02_projection_by_type(spark, sf_dir):
+    train, _ = splits(T(spark, sf_dir))
+    return project.by_type(train, "string", keep=["PassengerId"])
+
+
+# --- one-hot and dictionary vectors with any number of categories (E01, E03) ----------------------
+# Every passenger's name is a category of its own.
+NAMED = ["Name", "Sex", "Embarked"]
+
+
+def _dictionary_sql(source: str, columns: list[str], numbers: tuple[str, ...] = ()) -> str:
+    parts = [f"SELECT DISTINCT '{c}' AS col, {c} AS val, '{c}=' || {c} AS feature FROM {source} WHERE {c} IS NOT NULL" for c in columns]
+    parts += [f"SELECT '{c}', NULL, '{c}'" for c in numbers]
+    return (f"pairs AS ({' UNION ALL '.join(parts)}), "
+            "dict AS (SELECT *, row_number() OVER (ORDER BY feature, col) - 1 AS idx FROM pairs)")
+
+
+def _long_sql(source: str, columns: list[str], numbers: tuple[str, ...] = ()) -> str:
+    parts = [f"SELECT PassengerId, idx, feature, 1.0::DOUBLE AS value FROM {source} JOIN dict ON col = '{c}' AND val = {c}" for c in columns]
+    parts += [f"SELECT PassengerId, idx, feature, CAST({c} AS DOUBLE) FROM {source} JOIN dict ON col = '{c}' AND val IS NULL WHERE {c} <> 0"
+              for c in numbers]
+    return " UNION ALL ".join(parts)
+
+
+@query("E01_one_hot_long", f"""WITH {PASS_SQL}, {_dictionary_sql('ptrain', NAMED)}
+SELECT PassengerId, idx AS index, feature, {R('value')} AS value FROM ({_long_sql('ptrain', NAMED)})""")
+def e01_one_hot_long(spark, sf_dir):
+    train, _ = splits(T(spark, sf_dir))
+    return finish(encode.encode_long(train, "PassengerId", encode.fit_dictionary(train, NAMED), NAMED))
+
+
+VECTOR_NUMBERS = ("Pclass", "Family", "Fare", "isAlone")
+
+
+@query("E03_dict_vectorize_sparse", f"""WITH {PREP_SQL}, {_dictionary_sql('tr_prep', ['Name', 'Person', 'Embarked'], VECTOR_NUMBERS)},
+long AS ({_long_sql('te_prep', ['Name', 'Person', 'Embarked'], VECTOR_NUMBERS)})
+SELECT PassengerId, (SELECT count(*) FROM dict) AS size, count(*) AS n_values, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices,
+       {R('sum(value)')} AS total FROM long GROUP BY PassengerId""")
+def e03_dict_vectorize_sparse(spark, sf_dir):
+    """Fitted on train, applied to test, whose names it has not seen."""
+    train, test = (prepare(s) for s in splits(T(spark, sf_dir)))
+    words = ["Name", "Person", "Embarked"]
+    dictionary = encode.fit_dictionary(train, words, VECTOR_NUMBERS)
+    out = encode.encode_sparse(test, "PassengerId", dictionary, words, VECTOR_NUMBERS)
+    return finish(out.select("PassengerId", "size", F.size("indices").cast("long").alias("n_values"),
+                             F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"),
+                             F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("total")))
 
 
 # --- profiling and chart data on passengers (D01, D02, D04, D08, D09, D12) ----------------------

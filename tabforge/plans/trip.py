@@ -393,8 +393,14 @@ FROM speed GROUP BY Hour, pickup_dropoff_loc"""
 
 @query("J04_inner_join_aggregates", _COORD_SQL)
 def j04_inner_join_aggregates(spark, sf_dir):
+    """Two aggregates of one grouping, joined.  Both are dealt by the same
+    keys, so the join shuffles nothing again; rows with a missing key form a
+    group that meets none (C3)."""
     train, _ = features(T(spark, sf_dir))
-    return finish(coord_stats(train, None))
+    keys = ["Hour", "pickup_dropoff_loc"]
+    speeds = train.groupBy(*keys).agg(F.avg("avg_speed_h").alias("avg_speed_h_Hour_pickup_dropoff_loc"))
+    counts = train.groupBy(*keys).agg(F.count("id").alias("cnt_Hour_pickup_dropoff_loc"))
+    return finish(speeds.join(counts, keys, "inner"))
 
 
 @query("A11_having_count", _COORD_SQL + " HAVING count(id) > 100")
@@ -513,12 +519,9 @@ UNION ALL SELECT 'dayofweek', dayofweek, {R('avg(avg_speed_m)')} FROM speed GROU
 UNION ALL SELECT 'Month', Month, {R('avg(avg_speed_m)')} FROM speed GROUP BY Month""")
 def d15_mean_by_time_part(spark, sf_dir):
     train, _ = features(T(spark, sf_dir))
-    out = None
-    for part in ("Hour", "dayofweek", "Month"):
-        g = train.groupBy(F.col(part).alias("value")).agg(F.avg("avg_speed_m").alias("mean_speed"))
-        g = g.select(F.lit(part).alias("part"), "value", "mean_speed")
-        out = g if out is None else out.unionByName(g)
-    return finish(out)
+    parts = F.array(*[F.struct(F.lit(p).alias("part"), F.col(p).alias("value")) for p in ("Hour", "dayofweek", "Month")])
+    return finish(train.select(F.explode(parts).alias("p"), "avg_speed_m").groupBy("p.part", "p.value")
+                  .agg(F.avg("avg_speed_m").alias("mean_speed")))
 
 
 # --- regression metrics on a deterministic predictor (V02-V04) ----------------------------------------

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .tables import missing_as_null
+
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false",
                "mode": "FAILFAST", "nullValue": ""}
 
@@ -21,10 +23,11 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "fals
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str,
              usecols: Sequence[str] | None = None) -> DataFrame:
     """Header CSV with a fixed schema; ``paths`` may list
-    several parts, which are read as one table; ``usecols`` prunes."""
+    several parts, which are read as one table; ``usecols`` prunes.  A NaN
+    in a number column is a missing value (C0)."""
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(
         list(paths) if not isinstance(paths, str) else paths)
-    return df.select(*usecols) if usecols else df
+    return missing_as_null(df.select(*usecols) if usecols else df)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> str:

@@ -9,16 +9,29 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.contract import nan_to_null
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def missing_as_null(df: DataFrame) -> DataFrame:
+    """C0 at ingest: NaN in a floating column becomes NULL.  Text sources
+    pass through here; a Parquet table that may hold NaN does on request,
+    as a filter on such a column no longer reaches the scan."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, nan_missing: bool = False) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return missing_as_null(df) if nan_missing else df
 
 
 class Tables:

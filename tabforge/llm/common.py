@@ -22,12 +22,13 @@ from tabforge.session import ensure_checkpoint_dir
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "2m"
 
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it,
-    and hand them texts in batches of a few MB, unless the session says how.
+    and hand them rows in batches of 2 MB, unless the session says how (each
+    running task, and finished ones for a while, hold one outside the heap).
 
     On a cluster the package is installed or sent with ``--py-files``; the
     extra path is then simply not there and is ignored."""

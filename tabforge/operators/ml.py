@@ -181,11 +181,16 @@ def gbt_regressor(label: str = "label", features: str = "features", validation:
     return est
 
 
+DEEP = 30       # Spark's deepest tree; the programs set no bound
+
+
 def random_forest(label: str = "label", features: str = "features", trees: int = 80,
                   max_depth: int = 5, seed: int = 0) -> RandomForestClassifier:
-    """Random-forest classifier (80 / 150 / 250 trees in the programs)."""
-    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees,
-                                  maxDepth=max_depth, seed=seed)
+    """Random-forest classifier (80 / 150 / 250 trees in the programs).
+    Deep trees keep each row's node instead of passing the trees to the
+    rows in every round, with a reliable checkpoint every ten levels."""
+    return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=max_depth, seed=seed,
+                                  cacheNodeIds=max_depth > 10, checkpointInterval=10)
 
 
 def importances(model, names: Sequence[str]) -> DataFrame:

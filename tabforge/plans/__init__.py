@@ -4,5 +4,5 @@ Importing this package registers every query in ``registry.QUERIES`` /
 ``registry.ORACLE``.
 """
 
-from . import charts, cover, credit, events, io, models, passenger, trip  # noqa: F401
+from . import charts, cover, credit, events, io, loans, models, passenger, trip  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

@@ -9,14 +9,16 @@ fold count is kept small and stated.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ml, profile
-from ..session import cut_lineage
-from . import cover, credit, passenger, trip
+from ..operators import boosting, metrics, ml, profile
+from ..session import written
+from . import cover, loans, passenger, trip
 from .common import T, query
 
 # --- folds, samples, splits (M03, M05, M06) ---------------------------------------------------
@@ -63,43 +65,42 @@ def m05_split(spark, sf_dir):
 # --- credit: boosted classifier, out-of-fold scores (M07, M10) ----------------------------------------
 
 
+def _credit_gbm(rounds: int):
+    return ml.gbt_classifier(label="TARGET", **{**ml.CREDIT_GBM, "maxIter": rounds})
+
+
 def credit_frame(t) -> tuple[DataFrame, list[str]]:
-    """Customers with label and child features, missing values kept.  The
-    label mixes what the features can know (mean order price) with what
-    they cannot (account balance), each on about its own spread, so models
-    have a partial signal to find."""
-    feats = (credit.hist_profile(t)
-             .join(credit.prev_last(t), "o_custkey", "left")
-             .join(credit.tail_stats(credit.prev(t), "o_custkey", credit.ORDER, [1, 3, 5], credit.TAIL_COLS),
-                   "o_custkey", "left")
-             .withColumnRenamed("o_custkey", "c_custkey"))
-    names = [c for c in feats.columns if c != "c_custkey"]
-    prices = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.avg("o_totalprice").alias("_price"))
-    price = F.coalesce("_price", F.lit(250000.0))
-    label = (price - 250000) / 48000 + (F.col("c_acctbal") - 4500) / 3200 < -0.5
-    df = t.customer.select("c_custkey", "c_acctbal").join(prices, "c_custkey", "left") \
-        .select("c_custkey", label.cast("double").alias("label")).join(feats, "c_custkey", "left")
-    return df.select("c_custkey", "label", *[F.col(c).cast("double").alias(c) for c in names]), names
+    """The training split of the assembled matrix and its features."""
+    train, _, names = loans.matrix(t)
+    plain = {n: re.sub(r"\W", "_", n) for n in names}
+    return train.withColumnsRenamed(plain).withColumn("TARGET", F.col("TARGET").cast("double")), list(plain.values())
 
 
 @query("M07_gbt_classifier")
 def m07_gbt_classifier(spark, sf_dir):
+    """Early stopping on the held-out fifth with the program's patience of
+    ten rounds; the model is the one of its best round."""
     data, names = credit_frame(T(spark, sf_dir))
-    data = cut_lineage(data.withColumn("is_valid", ml.fold_col("c_custkey", 5, seed=1024) == 0))
-    rows = ml.fit_features(data.where(~F.col("is_valid")), names).transform(data)
-    model = ml.gbt_classifier(validation="is_valid", **ml.CREDIT_GBM).fit(rows)
+    data = boosting.compact(data.withColumn("is_valid", ml.fold_col(loans.KEY, 5, seed=1024) == 0))
+    prep = ml.fit_features(data.where(~F.col("is_valid")), names)
+    rows = prep.transform(data)
+    model, _ = boosting.fit_with_patience(_credit_gbm, rows.where(~F.col("is_valid")), rows.where("is_valid"), patience=10,
+                                          max_rounds=ml.CREDIT_GBM["maxIter"], label="TARGET")
     scored = ml.positive_probability(model.transform(rows))
-    return scored.select("c_custkey", "is_valid", "score").orderBy("c_custkey")
+    return scored.select(F.col(loans.KEY).alias("c_custkey"), "is_valid", "score").orderBy("c_custkey")
 
 
 @query("M10_out_of_fold")
 def m10_out_of_fold(spark, sf_dir):
+    """Out-of-fold scores on the assembled matrix, with the rounds of the
+    model that gave them and their ROC AUC over all folds (V01)."""
     data, names = credit_frame(T(spark, sf_dir))
-    data = data.withColumn("fold", ml.fold_col("c_custkey", 5, seed=1024))
-    oof = ml.out_of_fold(data, lambda: ml.gbt_classifier(validation="is_valid", **ml.CREDIT_GBM),
-                         "fold", 5, "c_custkey", validation="is_valid",
-                         prepare=lambda train: ml.fit_features(train, names))
-    return oof.orderBy("c_custkey")
+    data = data.withColumn("fold", ml.fold_col(loans.KEY, 5, seed=1024))
+    oof = written(boosting.out_of_fold(data, names, _credit_gbm, "fold", 5, loans.KEY, "TARGET", patience=10,
+                                       max_rounds=ml.CREDIT_GBM["maxIter"]), "out-of-fold")
+    total = metrics.auc(oof, "score", "TARGET").select("auc")       # one row
+    return oof.join(F.broadcast(total)).select(F.col(loans.KEY).alias("c_custkey"), F.col("TARGET").alias("label"), "score",
+                                               "rounds", "auc").orderBy("c_custkey")
 
 
 # --- trip: boosted regressor on the log target, prediction file (M08, M16) ---------------------------
@@ -129,10 +130,10 @@ def trip_frame(t):
 @query("M08_gbt_regressor")
 def m08_gbt_regressor(spark, sf_dir):
     train, test, feats = trip_frame(T(spark, sf_dir))
-    fit, hold = ml.split(cut_lineage(train), "id", 0.2, seed=33)
-    data = (fit.withColumn("is_valid", F.lit(False)).unionByName(hold.withColumn("is_valid", F.lit(True))))
+    fit, _ = ml.split(boosting.compact(train), "id", 0.2, seed=33)
     prep = ml.fit_features(fit, feats)             # means of the fitted rows, applied to all others
-    model = ml.gbt_regressor(validation="is_valid", **ml.TRIP_GBM).fit(prep.transform(data))
+    # All rounds: the program's patience is longer than its rounds.
+    model = ml.gbt_regressor(**ml.TRIP_GBM).fit(prep.transform(fit))
     scored = model.transform(prep.transform(test))
     return scored.select("id", F.expm1("prediction").alias("trip_duration")).orderBy("id")
 
@@ -144,7 +145,7 @@ def cover_model(t, trees: int = 150):
     df = cover.cover_features(cover.train_split(t))
     names = cover.feature_columns(df)
     data = ml.assemble(df.withColumn("label", F.col("Cover_Type").cast("double")), names)
-    return ml.random_forest(trees=trees, max_depth=8, seed=0).fit(data), names
+    return ml.random_forest(trees=trees, max_depth=ml.DEEP, seed=0).fit(boosting.compact(data)), names
 
 
 @query("M09_random_forest")

@@ -12,6 +12,7 @@ after an executor loss.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -22,14 +23,30 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_path
 
 # --- splits and folds (M05, M06) -------------------------------------------------------
 
 
+HASH_RANGE = 1 << 32
+
+
+def id_hash(id_col: str, seed: int) -> Column:
+    """A number in [0, 2^32) per id: the first eight digits of the md5 of
+    ``seed:id``.  Any engine can compute it, and it depends on nothing but
+    the id and the seed."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def id_hash_sql(id_col: str, seed: int) -> str:
+    """DuckDB twin of ``id_hash``."""
+    return f"CAST('0x' || substr(md5(concat('{seed}:', {id_col})), 1, 8) AS BIGINT)"
+
+
 def hash_fraction(id_col: str, seed: int) -> Column:
     """A stable pseudo-random number in [0, 1) per id."""
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
+    return id_hash(id_col, seed) / float(HASH_RANGE)
 
 
 def split(df: DataFrame, id_col: str, test_fraction: float = 0.25, seed: int = 33):
@@ -44,12 +61,15 @@ def fold_col(id_col: str, k: int, seed: int | None = None) -> Column:
     row blocks, which have no meaning for unordered rows)."""
     if seed is None:
         return F.pmod(F.col(id_col), F.lit(k)).cast("int")
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(k)).cast("int")
+    return (id_hash(id_col, seed) % k).cast("int")
 
 
-def sample(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """A seeded Bernoulli sample of the given fraction, at any size."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample(df: DataFrame, fraction: float, seed: int = 0, id_col: str | None = None) -> DataFrame:
+    """A seeded sample of the given fraction, at any size.  With an id
+    column a row is in or out by its id alone, however the rows lie."""
+    if id_col is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    return df.where(hash_fraction(id_col, seed) < fraction)
 
 
 # --- clusters and rotations (M01, M02, M04) -----------------------------------------------
@@ -101,6 +121,53 @@ def kmeans_fit(points: DataFrame, cols: Sequence[str], k: int = 20, seed: int =
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
 
 
+def mini_batch_kmeans(points: DataFrame, cols: Sequence[str], id_col: str, k: int = 20, batch: int = 10_000, steps: int = 100,
+                      seed: int = 1) -> list[list[float]]:
+    """Centres by mini-batch k-means.
+
+    Batches are drawn by hashed id: about ``steps * batch`` rows at most,
+    stored once, a folder per step, so a step reads its own rows only; fewer
+    rows than that are dealt into batches that come round again.  The first
+    batch starts the centres (k-means||).  In each step every row of the
+    batch goes to its nearest centre (the centres are literals, k x d
+    numbers), one aggregate gives the sums per centre, and a centre moves by
+    its share of the rows it has ever had, so steps get smaller.
+    Rows with a missing coordinate are left out."""
+    data = points.select(id_col, *cols).dropna(subset=list(cols))
+    n = data.count()
+    if not n:
+        return []
+    dealt = min(steps, max(1, -(-n // batch)))
+    data = data if n <= dealt * batch else sample(data, dealt * batch / n, seed, id_col)
+    path = shared_path(data.sparkSession, f"batches/{uuid.uuid4().hex}")
+    data.withColumn("_batch", fold_col(id_col, dealt, seed + 1)).write.partitionBy("_batch").parquet(path)
+    stored = data.sparkSession.read.parquet(path)
+    first = stored.where("_batch = 0") if dealt > 1 else stored
+    centers = centers_of(kmeans_fit(first, cols, k, seed, max_iter=5))
+    seen = [0] * len(centers)
+    for step in range(steps):
+        part = stored.where(F.col("_batch") == step % dealt) if dealt > 1 else stored
+        sums = part.withColumn("_at", assign_nearest(cols, centers)).groupBy("_at").agg(
+            F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in cols]).collect()      # one row per centre
+        moved = 0.0
+        for r in sums:
+            i = r["_at"]
+            seen[i] += r["_n"]
+            rate = r["_n"] / seen[i]
+            new = [old + rate * (r[c] - old) for old, c in zip(centers[i], cols, strict=True)]
+            moved += sum((a - b) ** 2 for a, b in zip(new, centers[i], strict=True))
+            centers[i] = new
+        if step >= dealt and moved < 1e-18:
+            break
+    return centers
+
+
+def inertia(points: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
+    """One row: points and the sum of their squared distances to the nearest centre."""
+    near = F.array_min(F.array(*[sum(((F.col(c) - v) * (F.col(c) - v) for c, v in zip(cols, at, strict=True)), F.lit(0.0)) for at in centers]))
+    return points.dropna(subset=list(cols)).agg(F.count(F.lit(1)).alias("n"), F.sum(near).alias("inertia"))
+
+
 def centers_of(model) -> list[list[float]]:
     return [list(map(float, c)) for c in model.clusterCenters()]
 

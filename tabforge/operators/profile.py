@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.contract import safe_corr
 from ..session import written
 from .joins import join_measured, measured
+from .ml import sample
 from .quantile import exact_quantiles_multi, group_quantiles
 
 # --- D01-D05 ---------------------------------------------------------------------------------
@@ -219,14 +220,12 @@ def bar_data(df: DataFrame, y: str, x: str, hue: str | None = None) -> DataFrame
 
 
 def scatter_sample(df: DataFrame, pairs: Sequence[tuple[str, str]], color: str, fraction: float,
-                   seed: int = 0) -> DataFrame:
+                   seed: int = 0, id_col: str | None = None) -> DataFrame:
     """Seeded sample of column pairs for scatter plots, long form
-    ``(x_name, y_name, x, y, color)``, rows with missing values dropped."""
-    s = df.sample(False, fraction, seed)
-    out = None
-    for a, b in pairs:
-        part = s.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
-            F.lit(a).alias("x_name"), F.lit(b).alias("y_name"), F.col(a).cast("double").alias("x"),
-            F.col(b).cast("double").alias("y"), F.col(color))
-        out = part if out is None else out.unionByName(part)
-    return out
+    ``(x_name, y_name, x, y, color)``, rows with missing values dropped; by
+    hashed id if an id column is given.  The rows are scanned once."""
+    s = sample(df, fraction, seed, id_col)
+    both = F.array(*[F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"), F.col(a).cast("double").alias("x"),
+                              F.col(b).cast("double").alias("y")) for a, b in pairs])
+    return s.select(F.explode(both).alias("p"), F.col(color)).select("p.*", color) \
+        .where(F.col("x").isNotNull() & F.col("y").isNotNull())

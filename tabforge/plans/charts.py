@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, profile
+from ..operators import metrics, ml, profile
 from . import cover, trip
 from .common import TS, R, T, finish, query, ts_text
 
@@ -81,12 +81,15 @@ def d11_violin(spark, sf_dir):
     return finish(profile.violin(cover.train_split(T(spark, sf_dir)), "Elevation", "Cover_Type", gridsize=100))
 
 
-@query("D13_scatter_sample")
+SCATTER = [("pickup_longitude", "pickup_latitude"), ("dropoff_longitude", "dropoff_latitude")]
+
+
+@query("D13_scatter_sample", f"WITH {trip.TRIPS_SQL}, s AS (SELECT * FROM train WHERE {ml.id_hash_sql('id', 7)} < {ml.HASH_RANGE} / 8) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS x_name, '{b}' AS y_name, {R(a)} AS x, {R(b)} AS y, vendor_id FROM s WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+    for a, b in SCATTER))
 def d13_scatter_sample(spark, sf_dir):
     train, _ = trip.splits(T(spark, sf_dir))
-    pairs = [("pickup_longitude", "pickup_latitude"), ("dropoff_longitude", "dropoff_latitude")]
-    return profile.scatter_sample(train.withColumn("vendor_id", F.col("vendor_id")), pairs, "vendor_id",
-                                  fraction=0.1, seed=7)
+    return finish(profile.scatter_sample(train, SCATTER, "vendor_id", fraction=0.125, seed=7, id_col="id"))
 
 
 # --- V01: AUC of a deterministic score against document quality labels ----------------------------

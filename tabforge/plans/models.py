@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import boosting, metrics, ml, profile
 from ..session import written
 from . import cover, loans, passenger, trip
-from .common import T, query
+from .common import R, T, finish, query
 
 # --- folds, samples, splits (M03, M05, M06) ---------------------------------------------------
 
@@ -30,7 +30,8 @@ def m06_fold_assignment(spark, sf_dir):
     return c.select(ml.fold_col("c_custkey", 5).alias("fold")).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("M06_shuffled_folds")
+@query("M06_shuffled_folds", f"""SELECT CAST({ml.id_hash_sql('c_custkey', 1024)} % 5 AS INTEGER) AS fold, count(*) AS n
+FROM customer GROUP BY 1""")
 def m06_shuffled_folds(spark, sf_dir):
     c = T(spark, sf_dir).customer
     return (c.select(ml.fold_col("c_custkey", 5, seed=1024).alias("fold")).groupBy("fold")
@@ -42,9 +43,22 @@ def _points4(t) -> DataFrame:
     return train.select("id", *trip.POINT4).unionByName(test.select("id", *trip.POINT4))
 
 
-@query("M03_sample")
+@query("M03_sample", f"""WITH {trip.TRIPS_SQL}, {trip.CENTERS_SQL}
+SELECT id, {', '.join(f'{R(c)} AS {c}' for c in trip.POINT4)} FROM pts WHERE {ml.id_hash_sql('id', 0)} < {ml.HASH_RANGE // 2}""")
 def m03_sample(spark, sf_dir):
-    return ml.sample(_points4(T(spark, sf_dir)), 0.5, seed=0)
+    return finish(ml.sample(_points4(T(spark, sf_dir)), 0.5, seed=0, id_col="id"))
+
+
+@query("M01_minibatch_kmeans")
+def m01_minibatch_kmeans(spark, sf_dir):
+    """Every point of both splits goes to its nearest centre: per cluster
+    the centre and the points it has."""
+    points = _points4(T(spark, sf_dir))
+    centers = ml.mini_batch_kmeans(points, trip.POINT4, "id", k=20, batch=10_000, seed=1)
+    rows = [(i, *c) for i, c in enumerate(centers)]
+    found = spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in trip.POINT4))
+    counts = points.groupBy(ml.assign_nearest(trip.POINT4, centers).alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+    return found.join(counts, "cluster", "left").select("cluster", F.coalesce("n", F.lit(0)).alias("n"), *trip.POINT4)
 
 
 @query("M01_kmeans")
@@ -54,7 +68,9 @@ def m01_kmeans(spark, sf_dir):
     return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in trip.POINT4))
 
 
-@query("M05_split")
+@query("M05_split", f"""WITH {passenger.PASS_SQL}
+SELECT CASE WHEN {ml.id_hash_sql('PassengerId', 33)} < {ml.HASH_RANGE // 4} THEN 'holdout' ELSE 'train' END AS part, count(*) AS n
+FROM ptrain GROUP BY 1""")
 def m05_split(spark, sf_dir):
     train, _ = passenger.splits(T(spark, sf_dir))
     fit, hold = ml.split(train, "PassengerId", 0.25, seed=33)

@@ -55,11 +55,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_next(docs: DataFrame, key: str, text: str, carried: str) -> DataFrame:
     """Add ``carried``: the text of the next row in ascending ``key`` (after
-    the last: of the first).
+    the last: of the first).  Null keys come last; rows that share a key, or
+    have none, stand in the order of a hash of their text (``__hash``).
 
     Rows are dealt to buckets of consecutive keys; each bucket also gets the
     first row of the next one as a guest.  The key's quantiles (as many as
-    there are buckets) cut the buckets, found per row by binary search."""
+    there are buckets) cut the buckets, found per row by binary search; rows
+    without a key are dealt by their hash."""
     spark = docs.sparkSession
     n = 4 * partitions(spark)
     cuts = docs.select(F.approx_percentile(key, F.array(*[F.lit(i / n) for i in range(1, n)]), 20 * n)).first()[0] or []
@@ -75,32 +77,46 @@ def with_next(docs: DataFrame, key: str, text: str, carried: str) -> DataFrame:
             .otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
 
     steps = F.sequence(F.lit(0), F.lit(len(cuts).bit_length()))
-    bucket = F.aggregate(steps, span, halve)["lo"]
-    keyed = docs.withColumn("__bucket", bucket)
-    # One row per bucket from here on: its first key and the bucket before it.
-    firsts = docs.select(key).withColumn("__bucket", bucket).groupBy("__bucket").agg(F.min(key).alias("__first"))
+    bits = (n - 1).bit_length()
+    keyless = len(cuts) + 1 + F.shiftrightunsigned(F.col("__hash").bitwiseXOR(F.lit(-1 << 63)), 64 - bits).cast("int") if bits else F.lit(len(cuts) + 1)
+    bucket = F.when(F.col(key).isNull(), keyless).otherwise(F.aggregate(steps, span, halve)["lo"])
+    keyed = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__bucket", bucket)
+    # One row per bucket from here on: its first row's place and the bucket before it.
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__hash").alias("hash"))
+    firsts = keyed.groupBy("__bucket").agg(F.min(place).alias("__first"))
     order = Window.orderBy("__bucket")
     firsts = firsts.withColumn("__before", F.coalesce(F.lag("__bucket").over(order), F.last("__bucket").over(
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
     places = F.array(F.struct(F.col("__bucket").alias("b"), F.lit(0).alias("guest")),
                      F.struct(F.col("__before").alias("b"), F.lit(1).alias("guest")))
-    placed = keyed.join(F.broadcast(firsts.select(F.col("__first").alias(key), "__before")), key, "left") \
+    firsts = firsts.select("__before", F.col("__first.key").alias("__key"), F.col("__first.hash").alias("__own"))
+    placed = keyed.join(F.broadcast(firsts), keyed[key].eqNullSafe(F.col("__key")) & (F.col("__hash") == F.col("__own")), "left") \
         .withColumn("__at", F.explode(F.filter(places, lambda p: p["b"].isNotNull()))) \
-        .select(*docs.columns, F.col("__at.b").alias("__bucket"), F.col("__at.guest").alias("__guest"))
-    w = Window.partitionBy("__bucket").orderBy("__guest", key, text)
-    return placed.withColumn(carried, F.lead(text).over(w))
+        .select(*docs.columns, "__hash", F.col("__at.b").alias("__bucket"), F.col("__at.guest").alias("__guest"))
+    return placed.withColumn(carried, F.lead(text).over(next_order(key)))
+
+
+def next_order(key: str) -> Window:
+    """The order of ``with_next`` within a bucket; guests come last."""
+    return Window.partitionBy("__bucket").orderBy("__guest", F.asc_nulls_last(key), "__hash")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    w = Window.partitionBy("__bucket").orderBy("__guest", "doc_id", "text")
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+def fingerprint_report(docs: DataFrame) -> DataFrame:
+    """Fingerprints of each text and of its edited text, and their likeness
+    to each other and to the next document's."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    w = next_order("doc_id")
     chars = F.char_length("text")
     cut = F.floor(chars / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), chars - cut), F.substring("__next", F.lit(1), cut))
     pairs = with_next(docs, "doc_id", "text", "__next") \
-        .select("doc_id", "text", "__bucket", "__guest", chars.cast("long").alias("n_chars"), edited.alias("edited"))
-    marked = pairs.select("doc_id", "text", "__bucket", "__guest", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        .select("doc_id", "text", "__hash", "__bucket", "__guest", chars.cast("long").alias("n_chars"), edited.alias("edited"))
+    marked = pairs.select("doc_id", "__hash", "__bucket", "__guest", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                           winnow.hashes(winnow.fingerprint(F.col("text"))).alias("fp"),
                           winnow.hashes(winnow.fingerprint(F.col("edited"))).alias("edited_fp"))
     return marked.withColumn("next_fp", F.lead("fp").over(w)).where("__guest = 0").select(

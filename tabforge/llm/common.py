@@ -110,6 +110,26 @@ def join_ids(rows: DataFrame, ids: DataFrame, on: Column, row_bytes: int) -> Dat
     return rows.join(F.broadcast(ids) if ids.count() * row_bytes <= BROADCAST_BYTES else ids, on)
 
 
+HOT_SHARE = 1000    # a key with more than this part of the rows is hot
+
+
+def spread_join(rows: DataFrame, answers: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """``rows.join(answers, key, "left")`` that gathers no hot key in one task.
+
+    ``answers`` has one narrow row per key.  Keys with more than one row in
+    ``HOT_SHARE`` are less than ``HOT_SHARE`` in number, so their answers go
+    to the rows; all others meet by a shuffle, and rows with a null key,
+    which have no answer, stay where they are.  ``rows`` is read several
+    times and ``answers`` twice, so both should be tables."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = rows.count()
+    hot = scratch.save(counts.where(F.col("__n") * HOT_SHARE > total).select(key), "hot")
+    some = rows.where(F.col(key).isNotNull())
+    rest = some.join(F.broadcast(hot), key, "left_anti").join(answers, key, "left")
+    mine = some.join(F.broadcast(hot.join(answers, key, "left")), key)
+    return rest.unionByName(mine).unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n (null key: null)."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(n))

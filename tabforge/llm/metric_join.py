@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, frugal, only
+from tabforge.llm.common import Scratch, frugal, only, spread_join
 from tabforge.llm.graph import components
 
 NATIVES = 4096          # vectors of a cell that one task holds at once
@@ -281,7 +281,7 @@ def near_duplicates(df: DataFrame, vector: str = "embedding", key: str = "vec_id
         .select("name", F.coalesce("component", "c").alias("root"),
                 (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"))
     named = F.when(F.col("id").isNotNull(), F.col("name"))
-    out = feats.select("id", named.alias("name")).join(of_class, "name", "left")
+    out = spread_join(feats.select("id", named.alias("name")), scratch.save(of_class, "answers"), "name", scratch)
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return out.select(F.col("id").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

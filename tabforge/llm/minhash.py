@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, frugal, join_ids, only
+from tabforge.llm.common import Scratch, frugal, join_ids, only, spread_join
 from tabforge.llm.graph import components
 from tabforge.llm.shingles import mix, shingle_sets
 
@@ -276,7 +276,7 @@ def classes(df: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
     alone = found.join(comp, "node", "left_anti").select("node", "component")
     of_class = groups.join(moved.unionByName(alone).withColumnRenamed("node", "c"), "c", "left") \
         .select("name", F.coalesce("component", "c").alias("c"))
-    out = feats.select("id", "n", "name").join(of_class, "name", "left")
+    out = spread_join(feats.select("id", "n", "name"), scratch.save(of_class, "answers"), "name", scratch)
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

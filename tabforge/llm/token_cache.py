@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import batches_of_text, frugal, keeps, only, prepare
+from tabforge.llm.common import BROADCAST_BYTES, Scratch, batches_of_text, frugal, keeps, only, prepare, spread_join
 
 _loaded: dict[str, object] = {}
 keeps(_loaded.clear, __name__)
@@ -85,20 +85,27 @@ def count_tokens(df: DataFrame, path: str, cache: str, text: str = "text", keep:
 
     Null text counts as empty: 0 bytes, 0 tokens.  Equal texts are encoded
     once in all runs that share ``cache``, a folder all machines can reach.
-    Copies are combined before the shuffle, so a text that a third of the
-    rows share costs one row per task.  Reading the result later needs the
-    cache to be still there."""
+    Digests are looked up before any text moves: a text whose count is stored
+    stays where it is (beyond 64 MB of missing digests texts are combined by
+    digest first, and hits dropped then).  Copies are combined before the
+    shuffle, so a text that a third of the rows share costs one row per
+    task, and its count goes back to the rows without gathering them.
+    Reading the result later needs the cache to be still there."""
     spark = df.sparkSession
     prepare(spark)
     own = only(df, __text=text, **{k: k for k in keep}) \
         .withColumn("__text", F.coalesce("__text", F.lit(""))) \
         .withColumn("__content", content_digest(F.col("__text")))
     folder = f"{cache.rstrip('/')}/tokenizer={version(path)}"
-    texts = own.select(F.col("__content").alias("content"), F.col("__text").alias("text")) \
-        .groupBy("content").agg(F.first("text").alias("text"))
-    misses = texts.join(stored(spark, folder), "content", "left_anti")
-    misses.mapInArrow(_counter(path), "content binary, n_tokens long").write.mode("append").parquet(folder)
-    counts = stored(spark, folder)
-    sized = own.select(*keep, F.octet_length("__text").cast("long").alias("n_bytes"), "__content")
-    return sized.join(counts, sized["__content"] == counts["content"]) \
+    scratch = Scratch(spark, "token-cache")
+    digests = scratch.save(own.select(*keep, F.octet_length("__text").cast("long").alias("n_bytes"), F.col("__content").alias("content")),
+                           "digests")
+    missing = scratch.save(digests.select("content").distinct().join(stored(spark, folder), "content", "left_anti"), "missing")
+    texts = own.select(F.col("__content").alias("content"), F.col("__text").alias("text"))
+    if missing.count() * 64 <= BROADCAST_BYTES:     # texts of hits stay where they are
+        texts = texts.join(F.broadcast(missing), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
+    else:
+        texts = texts.groupBy("content").agg(F.first("text").alias("text")).join(missing, "content", "left_semi")
+    texts.mapInArrow(_counter(path), "content binary, n_tokens long").write.mode("append").parquet(folder)
+    return spread_join(digests, stored(spark, folder), "content", scratch) \
         .select(*keep, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -388,3 +388,77 @@ def test_memory_of_workers_is_bounded_in_bytes():
         memo.put(f"word{i}", b"x" * 20)
         assert memo.get("word0") == b"x" * 20       # what is asked for lives on
     assert len(memo.young) + len(memo.old) < 1000 and memo.get("word5000") is None
+
+
+def test_fingerprints_of_rows_without_an_id_or_with_one_id(spark):
+    """The next document is defined for every row: null ids come last, rows
+    with one id (or none) in the order of a hash of their text."""
+    texts = [(3, "third text of some length here"), (1, "first"), (None, "no id at all, longer text"), (None, None), (2, ""),
+             (1, "another first"), (None, "no id at all, longer text"), (1, "first")] + [(10 + i, f"text number {i} " * (i % 7)) for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    order = [(r["doc_id"], r["text"]) for r in df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy(
+        F.asc_nulls_last("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+    want = Counter()
+    for (i, t), (_, nxt) in zip(order, [*order[1:], order[0]], strict=True):
+        cut = len(t) // 4
+        want[i, len(t), hashlib.sha256((t[:len(t) - cut] + nxt[:cut]).encode()).hexdigest()] += 1
+    got = queries.fingerprint_report(df).collect()
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+    assert all(r["near_next"] is not None and r["near_edited"] is not None for r in got)
+    assert queries.fingerprint_report(df.limit(0)).count() == 0
+    assert queries.fingerprint_report(df.where("doc_id is null")).count() == 3
+
+
+def test_likeness_of_fingerprints(spark, docs):
+    """near_edited and near_next from the kept grams of both texts."""
+    rows = sorted(docs.select("doc_id", "text").collect())[:40]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(queries.fingerprint_report(df).collect())
+    sets = {}
+    for i, t in rows:
+        nxt = dict(zip([r[0] for r in rows], [r[1] for r in rows[1:]] + [rows[0][1]]))[i]
+        cut = len(t) // 4
+        sets[i] = [{h for h, _ in _winnow(spark, x, winnow.K, winnow.WINDOW)} for x in (t, t[:len(t) - cut] + nxt[:cut])]
+    for k, r in enumerate(got):
+        own, edited = sets[r["doc_id"]]
+        after = sets[got[(k + 1) % len(got)]["doc_id"]][0]
+        for near, other in ((r["near_edited"], edited), (r["near_next"], after)):
+            assert near == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
+
+
+def test_spread_join_keeps_every_row(spark, tmp_path):
+    scratch = common.Scratch(spark, "t")
+    keys = [1] * 5000 + [None] * 3000 + list(range(2, 1500)) + [7] * 40 + [-5] * 100
+    rows = scratch.save(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long"), "rows")
+    answers = scratch.save(spark.createDataFrame([(k, k * 10) for k in range(1, 1400)], "k long, v long"), "answers")
+    got = {r["i"]: (r["k"], r["v"]) for r in common.spread_join(rows, answers, "k", scratch).collect()}
+    assert got == {i: (k, k * 10 if k is not None and 0 < k < 1400 else None) for i, k in enumerate(keys)}
+
+
+def test_warm_cache_moves_no_text_of_a_hit(spark, docs, tmp_path, monkeypatch):
+    path, cache = P.path("byte_bpe_50k.json"), str(tmp_path / "cache")
+    token_cache.count_tokens(docs, path, cache, keep=("doc_id",)).collect()
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "one new text")], "doc_id long, text string"))
+    plans = []
+    write = type(docs).write
+
+    class Spy:
+        def __get__(self, df, kind):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return write.__get__(df, kind)
+
+    monkeypatch.setattr(type(docs), "write", Spy())
+    token_cache.count_tokens(more, path, cache, keep=("doc_id",)).collect()
+    monkeypatch.undo()
+    encode = next(p for p in plans if "MapInArrow" in p)
+    # Going up from the scan, the texts meet the missing digests before any exchange of rows.
+    below = encode[encode.index("MapInArrow"):]
+    assert "BroadcastHashJoin" in below and below.index("BroadcastHashJoin") > below.index("Exchange hashpartitioning(content")
+
+
+def test_every_query_runs(spark):
+    """Each registered function on the smallest tables."""
+    for name, run in queries.QUERIES.items():
+        if name != "pipeline":      # has tests of its own
+            df = run(spark, SF001)
+            assert df.count() > 0 and df.columns, name

@@ -27,6 +27,8 @@ _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(209
 #: In the order in which they are tried where several start together.
 _FORMS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}(?=@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})",
+    # The name of the mail host, without its top-level domain.
+    "host": r"(?<=[A-Za-z0-9._%+-]@)[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,7}(?=\.[A-Za-z]{2,63}(?![A-Za-z0-9-]|\.[A-Za-z0-9]))",
     "iban": r"\b[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}\b",
     "date": r"(?<![\d.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?!\d|[.-]\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
@@ -259,7 +261,7 @@ def _secret(v: str, go) -> str:
             return new
 
 
-_WORK = {"email": _email, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date,
+_WORK = {"email": _email, "host": _email, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date,
          "secret": _secret}
 
 
@@ -318,7 +320,11 @@ class Pseudonyms:
                 at += 1
                 continue
             end, new = value
-            if kind in self.kinds:
+            if kind == "host":          # part of the address found before it
+                if "email" in self.kinds:
+                    out += s[done:at], new
+                    done = end
+            elif kind in self.kinds:
                 found.append(kind)
                 out += s[done:at], new
                 done = end
@@ -337,6 +343,9 @@ def pseudonymise(df: DataFrame, key: bytes, text: str = "text", keep: tuple[str,
     unless that is None.  ``undo`` restores the originals.
 
     Whole texts; null text stays null with an empty map, empty text empty.
+    Of a mail address both the local part and the host's name are replaced,
+    each on its own, so addresses of one host stay linked; the top-level
+    domain stays.  There is no default key.
     Layout and length stay, so offsets into the text stay right.  Numbers
     that fail their format's check are left alone, and a value beside other
     digits or capitals is looked for at every end (an IBAN at its country's

@@ -462,3 +462,163 @@ def test_every_query_runs(spark):
         if name != "pipeline":      # has tests of its own
             df = run(spark, SF001)
             assert df.count() > 0 and df.columns, name
+
+
+def test_pii_hides_personal_mail_hosts():
+    hide, back = pii.Pseudonyms(b"k" * 16), pii.Pseudonyms(b"k" * 16, undo=True)
+    text = "x@jane-doe.example and y.z@jane-doe.example, w@mail5.jane.example.com. Not @jane-doe.example nor a@b"
+    new, found = hide.text(text)
+    assert Counter(found)["email"] >= 3 and len(new) == len(text) and back.text(new)[0] == text
+    first, second = re.findall(r"@([A-Za-z0-9-]+)\.example(?!\.)", new.split(" Not ")[0])
+    assert first == second != "jane-doe"        # one host stays one host
+    assert "jane" not in new.split(" Not ")[0] and new.endswith("a@b") and "@jane-doe.example nor" in new
+    assert pii.Pseudonyms(b"k" * 16, kinds=("phone",)).text(text) == (text, [])
+    with pytest.raises(TypeError):
+        pii.pseudonymise(None)
+    with pytest.raises(ValueError):
+        pii.Pseudonyms(b"short")
+
+
+def _slow_pseudonyms(text, key):
+    """Every form at every place, one after the other, by the public parts of
+    the rules: what is found must be gone, what is not must stay."""
+    found = []
+    for m in re.finditer(r"(?<![\w-])\d{16}(?![\w-])", text):
+        if pii.luhn(m[0][:-1]) == int(m[0][-1]) and m[0][0] in "23456":
+            found.append(m[0])
+    return found
+
+
+def test_pii_on_documents_against_plain_patterns(spark, docs):
+    hide = pii.Pseudonyms(queries.PII_KEY)
+    mail = re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    before = dict(docs.select("doc_id", "text").collect())
+    for r in queries.op9_pii(spark, SF001).collect():
+        text = before[r["doc_id"]]
+        assert (r["text"], ) == (hide.text(text)[0], ) and len(r["text"]) == len(text)
+        for value in [*mail.findall(text), *_slow_pseudonyms(text, queries.PII_KEY)]:
+            assert value not in r["text"]
+
+
+def _draw(key, shard):
+    digest = hashlib.md5(f"{'null' if key is None else f'={key}'}/{shard}".encode()).hexdigest()
+    return -np.log((int(digest[:13], 16) + 0.5) / 16.0 ** 13)
+
+
+def test_shards_against_recomputed_draws(spark):
+    for r in queries.op2_sharding(spark, SF001).collect():
+        draws = [_draw(r["doc_id"], i) for i in range(9)]
+        assert r["shard"] == int(np.argmin(draws[:8])) and r["grown_shard"] == int(np.argmin(draws)) and r["law"] == "key"
+    rows = spark.createDataFrame([(None,), (1,), (1,), (5,)], "doc_id long")
+    for r in sharding.shard(rows, ["doc_id"], [1.0, 3.0, 0.5]).collect():
+        draws = [_draw(r["doc_id"], i) / w for i, w in enumerate([1.0, 3.0, 0.5])]
+        assert r["shard"] == int(np.argmin(draws))
+
+
+def _naive_hits(lexicon, folded):
+    """Each entry at each place, one after the other."""
+    spans, excused = {}, []
+    for phrase in lexicon.exceptions:
+        for m in re.finditer(re.escape(phrase), folded):
+            if not (m.start() and folded[m.start() - 1].isalpha()) and not (m.end() < len(folded) and folded[m.end()].isalpha()):
+                excused.append(m.span())
+    for entry, weight in lexicon.weights.items():
+        word = entry.rstrip("$")
+        for at in range(len(folded) - len(word) + 1):
+            if folded.startswith(word, at) and not (at and folded[at - 1].isalpha()):
+                end = at + len(word)
+                if not entry.endswith("$") or end == len(folded) or not folded[end].isalpha():
+                    if end > spans.get(at, (0, 0))[0]:
+                        spans[at] = (end, weight)
+    return [(s, e, w) for s, (e, w) in sorted(spans.items()) if not any(a <= s and e <= b for a, b in excused)]
+
+
+def test_toxicity_matcher_against_naive_search():
+    rng = random.Random(6)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(25)}
+    entries = {w + rng.choice(["", "$"]): rng.random() for w in sorted(words)}     # a stem or a whole word, never both
+    lexicon = toxicity.Lexicon(entries, ("ab cab", "bca", "ca b"))
+    for _ in range(400):
+        text = "".join(rng.choice("abc  ") for _ in range(60))
+        assert lexicon.hits(text) == _naive_hits(lexicon, text)
+
+
+def test_toxicity_query_against_naive_scores(spark, docs):
+    lexicon = toxicity.fit(queries.toxic_rows(docs.select("doc_id", "text"), spark, SF001))
+    text = dict(docs.select("doc_id", "text").collect())
+    for r in queries.op7_toxicity(spark, SF001).collect():
+        folded = toxicity.fold(text[r["doc_id"]])
+        hits = _naive_hits(lexicon, folded)
+        weight = max(sum(w for *_, w in hits), 0.0)
+        words = max(1, len(folded.split()))
+        z = lexicon.bias + (lexicon.total * np.log1p(weight) + lexicon.density * np.log1p(weight * 100 / words) if hits else 0)
+        assert r["hits"] == len(hits) and r["score"] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        assert r["predicted"] == int(r["score"] >= 0.5) and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_packing_against_row_by_row_best_fit(spark, docs):
+    """As many sequences as best-fit decreasing over the rows, one by one."""
+    for capacity in (64, 500, 4096):
+        got = packing.pack_documents(docs, P.path("word_bpe_49k.json"), capacity=capacity).collect()
+        free = []
+        for n in sorted((r["length"] for r in got), reverse=True):
+            fits = [f for f in free if f >= n]
+            if fits:
+                free.remove(min(fits))
+                free.append(min(fits) - n)
+            else:
+                free.append(capacity - n)
+        assert len({r["sequence_id"] for r in got}) == len(free)
+        used = defaultdict(list)
+        for r in got:
+            used[r["sequence_id"]].append((r["offset"], r["length"]))
+        for pieces in used.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+            assert at <= capacity
+
+
+def test_token_counts_against_the_library(spark, docs):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    text = dict(docs.select("doc_id", "text").collect())
+    for r in queries.op8_token_counts(spark, SF001).collect():
+        n = len(t.encode(text[r["doc_id"]], add_special_tokens=False).ids)
+        assert (r["n_tokens"], r["over_limit"], r["n_bytes"]) == (n, n > 1024, len(text[r["doc_id"]].encode()))
+
+
+def test_metric_join_with_several_cells(spark):
+    """Clusters on a sphere: pivots, boundary copies and parts are in use."""
+    rng = np.random.default_rng(4)
+    at = rng.normal(size=(40, 6))
+    x = np.concatenate([c + 0.25 * rng.normal(size=(60, 6)) for c in at] + [rng.normal(size=(600, 6)), np.repeat(at[:3], 50, 0)])
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = u @ u.T >= 0.9
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+    monkey = metric_join.NATIVES
+    try:
+        metric_join.NATIVES = 100
+        got = {r["vec_id"]: r for r in metric_join.near_duplicates(df).collect()}
+    finally:
+        metric_join.NATIVES = monkey
+    assert [got[i]["n_links"] for i in range(len(x))] == (hit.sum(1) - 1).tolist()
+    assert [got[i]["component_id"] for i in range(len(x))] == _low(len(x), [tuple(p) for p in np.argwhere(hit) if p[0] < p[1]])
+
+
+def test_embedding_query_against_brute_force(spark):
+    rows = sorted(spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").collect())
+    x = np.array([r["embedding"] for r in rows], float)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = u @ u.T >= 0.9
+    got = sorted(queries.op1_embedding_near_dedup(spark, SF001).collect())
+    assert [r["n_links"] for r in got] == (hit.sum(1) - 1).tolist()
+
+
+def test_pipeline_drops_what_scores_toxic(spark, docs):
+    import corpus_pipeline as C
+    rows = docs.select(*C.COLUMNS)
+    lexicon = toxicity.fit(queries.toxic_rows(rows.select("doc_id", "text"), spark, SF001))
+    kept = {r["doc_id"] for r in C.drop_toxic(spark, rows, SF001).collect()}
+    assert kept == {r["doc_id"] for r in rows.collect() if lexicon.score(r["text"])[0] < 0.5}

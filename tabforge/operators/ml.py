@@ -11,9 +11,12 @@ after an executor loss.
 
 from __future__ import annotations
 
+import json
 import math
+import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -340,16 +343,61 @@ def grid_table(cv_model) -> DataFrame:
 
 
 def _scores_by_fold(df: DataFrame, make_estimator, evaluator, fold: str, k: int,
-                    train_filter: Column | None = None) -> list[tuple[float, float]]:
-    out = []
-    for i in range(k):
+                    train_filter: Column | None = None, parallelism: int = 4) -> list[tuple[float, float]]:
+    """Train and test score of each fold; ``parallelism`` fits run side by side."""
+    def one(i: int) -> tuple[float, float]:
         train = df.where(F.col(fold) != i)
         if train_filter is not None:
             train = train.where(train_filter)
         model = make_estimator().fit(train)
-        out.append((evaluator.evaluate(model.transform(train)),
-                    evaluator.evaluate(model.transform(df.where(F.col(fold) == i)))))
-    return out
+        return evaluator.evaluate(model.transform(train)), evaluator.evaluate(model.transform(df.where(F.col(fold) == i)))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(one, range(k)))
+
+
+GRID_SCHEMA = "params string, fold int, score double"
+
+
+def grid_scores(df: DataFrame, make_estimator: Callable[..., object], points: Sequence[Mapping[str, object]], evaluator,
+                fold: str, k: int, path: str, parallelism: int = 4) -> DataFrame:
+    """M12, resumable: ``params, fold, score`` for every point of the grid
+    and every fold, from a table in ``path`` (a folder all machines can
+    reach).  A pair that has a row there is not fitted again; each new one
+    is appended as soon as it is done, so a run that was stopped goes on
+    where it was.  ``params`` is the point as JSON, names in order."""
+    spark = df.sparkSession
+    done = {(r["params"], r["fold"]) for r in stored_scores(spark, path).collect()}
+    todo = [(p, name, i) for p in points for name in [json.dumps(dict(p), sort_keys=True)] for i in range(k) if (name, i) not in done]
+    lock = threading.Lock()
+
+    def one(job) -> None:
+        point, name, i = job
+        model = make_estimator(**point).fit(df.where(F.col(fold) != i))
+        score = evaluator.evaluate(model.transform(df.where(F.col(fold) == i)))
+        with lock:
+            spark.createDataFrame([(name, i, float(score))], GRID_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        for _ in pool.map(one, todo):
+            pass
+    return stored_scores(spark, path)
+
+
+def stored_scores(spark, path: str) -> DataFrame:
+    """The rows that ``grid_scores`` has stored so far."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], GRID_SCHEMA)
+    return spark.read.schema(GRID_SCHEMA).parquet(path).dropDuplicates(["params", "fold"])
+
+
+def best_point(scores: DataFrame, larger: bool = True) -> DataFrame:
+    """``params, mean_score, best``: the mean over the folds per point,
+    and the best one (ties: the first in order of its name)."""
+    means = scores.groupBy("params").agg(F.avg("score").alias("mean_score"))
+    top = means.orderBy(F.desc("mean_score") if larger else F.asc("mean_score"), "params").limit(1).select(F.col("params").alias("_top"))
+    return means.join(F.broadcast(top)).select("params", "mean_score", (F.col("params") == F.col("_top")).alias("best"))
 
 
 def _mean_std(xs):

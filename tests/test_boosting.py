@@ -70,3 +70,33 @@ def test_forest_without_a_depth_bound(spark):
                                              F.pmod(F.xxhash64("id"), F.lit(2)).cast("double").alias("label")), ["a"])
     model = ml.random_forest(trees=2, max_depth=ml.DEEP, seed=0).fit(df)
     assert max(t.depth for t in model.trees) > 10
+
+
+def test_grid_search_goes_on_where_it_stopped(spark, tmp_path):
+    df = ml.assemble(_frame(spark, n=200), ["a", "b", "c", "d"]).withColumn("fold", ml.fold_col("id", 3, seed=2))
+    evaluator = BinaryClassificationEvaluator()
+    points = [{"trees": t, "max_depth": d} for t in (3, 5) for d in (2, 3)]
+    fits = []
+
+    def make(trees, max_depth):
+        fits.append((trees, max_depth))
+        if len(fits) == 8:
+            raise RuntimeError("stopped")
+        return ml.random_forest(trees=trees, max_depth=max_depth, seed=1)
+
+    path = str(tmp_path / "grid")
+    with pytest.raises(RuntimeError):
+        ml.grid_scores(df, make, points, evaluator, "fold", 3, path, parallelism=1)
+    assert ml.stored_scores(spark, path).count() == 7
+    scores = ml.grid_scores(df, make, points, evaluator, "fold", 3, path, parallelism=2)
+    assert scores.count() == 12 and len(fits) == 8 + 5
+    ml.grid_scores(df, make, points, evaluator, "fold", 3, path)
+    assert len(fits) == 13                      # all there: nothing fitted
+    table = ml.best_point(scores).collect()
+    assert len(table) == 4 and sum(r["best"] for r in table) == 1
+    assert max(table, key=lambda r: r["mean_score"])["best"]
+
+
+def test_the_programs_grid_is_whole():
+    from tabforge.plans import models
+    assert len(models.FOREST_GRID) == 54 and len({tuple(p.items()) for p in models.FOREST_GRID}) == 54

@@ -45,14 +45,13 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (ddof 1), min, quartiles (linear), max.
 
-    Moments come from one aggregate pass; quartiles use the bracketed
-    exact quantile so no task holds a whole column.
+    Moments ride the first pass of the bracketed exact quartiles, so no
+    task holds a whole column and the rows are scanned three times in all.
     """
-    moments = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
-        F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-        F.max(c).cast("double").alias(f"{c}__max"))]).first()
-    qs = exact_quantiles_multi(df, {c: [0.25, 0.5, 0.75] for c in cols})
+    extra = {f"{c}__{n}": e for c in cols for n, e in (
+        ("count", F.count(c)), ("mean", F.avg(c)), ("std", F.stddev_samp(c)), ("min", F.min(c).cast("double")),
+        ("max", F.max(c).cast("double")))}
+    qs, moments = exact_quantiles_multi(df, {c: [0.25, 0.5, 0.75] for c in cols}, extra_aggs=extra)
     rows = []
     for c in cols:
         q1, q2, q3 = qs[c]

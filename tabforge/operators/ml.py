@@ -124,7 +124,7 @@ def kmeans_fit(points: DataFrame, cols: Sequence[str], k: int = 20, seed: int =
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
 
 
-def mini_batch_kmeans(points: DataFrame, cols: Sequence[str], id_col: str, k: int = 20, batch: int = 10_000, steps: int = 100,
+def mini_batch_kmeans(points: DataFrame, cols: Sequence[str], id_col: str, k: int = 20, batch: int = 10_000, steps: int = 50,
                       seed: int = 1) -> list[list[float]]:
     """Centres by mini-batch k-means.
 
@@ -134,7 +134,8 @@ def mini_batch_kmeans(points: DataFrame, cols: Sequence[str], id_col: str, k: in
     batch starts the centres (k-means||).  In each step every row of the
     batch goes to its nearest centre (the centres are literals, k x d
     numbers), one aggregate gives the sums per centre, and a centre moves by
-    its share of the rows it has ever had, so steps get smaller.
+    its share of the rows it has ever had, so steps get smaller; once every
+    batch was seen, a step that moves nothing to speak of is the last.
     Rows with a missing coordinate are left out."""
     data = points.select(id_col, *cols).dropna(subset=list(cols))
     n = data.count()
@@ -160,7 +161,7 @@ def mini_batch_kmeans(points: DataFrame, cols: Sequence[str], id_col: str, k: in
             new = [old + rate * (r[c] - old) for old, c in zip(centers[i], cols, strict=True)]
             moved += sum((a - b) ** 2 for a, b in zip(new, centers[i], strict=True))
             centers[i] = new
-        if step >= dealt and moved < 1e-18:
+        if step >= dealt and moved <= 1e-8 * sum(v * v for at in centers for v in at):
             break
     return centers
 

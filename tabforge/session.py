@@ -78,10 +78,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+_written: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written once as Parquet under the shared folder and read
     back, so several readers of it share one computation, pinning no
-    executor memory, and a lost executor recomputes nothing."""
+    executor memory, and a lost executor recomputes nothing.  The table
+    stays as long as frames that read it may be used; ``release`` removes
+    it."""
     path = shared_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove all tables that ``written`` has stored so far, once no frame
+    built on them is needed any more; returns their number."""
+    n = 0
+    while _written:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+    return n

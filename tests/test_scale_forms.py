@@ -214,3 +214,12 @@ def test_hashed_ids_do_not_depend_on_the_layout(spark):
     assert a == {r["id"] for r in ml.sample(df.orderBy(F.desc("id")), 0.3, seed=4, id_col="id").collect()} and 500 < len(a) < 700
     folds = df.groupBy(ml.fold_col("id", 5, seed=1).alias("f")).count().collect()
     assert {r["f"] for r in folds} == set(range(5)) and min(r["count"] for r in folds) > 320
+
+
+def test_stored_tables_are_removed_on_request(spark):
+    from tabforge import session
+    df = session.written(spark.range(10), "kept")
+    path = session._written[-1]
+    assert df.count() == 10 and session.release(spark) >= 1
+    import os
+    assert not os.path.exists(path) and session.release(spark) == 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import BROADCAST_BYTES, Scratch, frugal, only, prepare
+from tabforge.llm.common import Scratch, frugal, only, prepare
 from tabforge.llm.shingles import mix
 
 LENGTH = 400
@@ -289,10 +289,8 @@ def _content(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``key, digest, first, part, block, data`` of the classes' first blocks."""
     lists = wanted.select("part", "block", "many", "low.key", "low.digest", "low.first").groupBy("key", "digest") \
         .agg(F.collect_list(F.struct("first", "many", "part", "block")).alias("wanted"))
-    small = wanted.count() * 200 <= BROADCAST_BYTES
     lists = lists.withColumnsRenamed({"key": "of_key", "digest": "of_digest"})
-    both = texts.join(F.broadcast(lists) if small else lists,
-                      (F.col("digest") == F.col("of_digest")) & F.col("key").eqNullSafe(F.col("of_key")))
+    both = texts.join(lists, (F.col("digest") == F.col("of_digest")) & F.col("key").eqNullSafe(F.col("of_key")))
     kind = texts.schema["key"].dataType.simpleString()
     return both.select("key", "digest", "data", "wanted").mapInArrow(
         _cut(length), f"key {kind}, digest binary, first long, part long, block binary, data binary")
@@ -339,7 +337,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, first: bool = True, text
     in key and text get the same answer, so with ``first`` they all keep
     what one of them keeps.  Texts are read whole, a segment at a time; they
     move once to meet their spans, and once more for the classes of blocks
-    that are compared (unless those are few enough to go to the texts)."""
+    that are compared."""
     if length < 2:
         raise ValueError("length must be at least 2")
     prepare(df.sparkSession)
@@ -367,6 +365,8 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, first: bool = True, text
             (F.col("first") + F.col("span.first")).alias("first"),
             (F.col("span.many") + (length - 1)).cast("long").alias("size"))).alias("found"))
     found = scratch.save(found, "spans").withColumnsRenamed({"key": "of_key", "digest": "of_digest"})
+    for spent in (occurrences, classes, results):
+        scratch.drop(spent)
     out = rows.join(found, (F.col("digest") == F.col("of_digest")) & F.col("key").eqNullSafe(F.col("of_key")), "left") \
         .select(*kept, "data", "found")
     schema = ", ".join([*(f"{c} {out.schema[c].dataType.simpleString()}" for c in kept),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import Scratch, frugal, only, prepare, slices
+from tabforge.llm.common import Scratch, frugal, only, partitions, prepare, slices
 
 GROUP = 512             # words of a list; larger groups are cut again
 HELD = 8 << 20          # bytes of counted words a task holds
@@ -230,14 +230,15 @@ def near_pairs(words: DataFrame, scratch: Scratch, group: int = GROUP) -> DataFr
         .withColumn("cut", F.explode(F.array(F.struct(F.lit(0).alias("i"), half.alias("j")),
                                              F.struct(half.alias("i"), F.col("s").alias("j"))))) \
         .select("word", "n", "s", "cut.i", "cut.j").where("j > i")
-    found, key = None, ["s", "i", "j", "rest"]
+    found, key, tasks = None, ["s", "i", "j", "rest"], partitions(words.sparkSession)
     while True:
         keyed = keyed.withColumn("rest", _rest(F.col("word")))
         large = scratch.save(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("words"))
                              .where((F.col("words") > group) & (F.col("j") - F.col("i") > 1)).select(*key), "large")
         last = large.isEmpty()
         small = keyed if last else keyed.join(large, key, "left_anti")
-        pairs = small.select(*key, "word", "n").repartition(*key).sortWithinPartitions(*key, "word") \
+        # A fixed number: the bytes are few, the work per byte is not, so tasks are not to be merged by size.
+        pairs = small.select(*key, "word", "n").repartition(tasks, *key).sortWithinPartitions(*key, "word") \
             .mapInArrow(_scan, "word string, n long, near string, near_n long")
         found = pairs if found is None else found.unionByName(pairs)
         if last:

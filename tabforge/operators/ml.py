@@ -380,8 +380,14 @@ def grid_scores(df: DataFrame, make_estimator: Callable[..., object], points: Se
             spark.createDataFrame([(name, i, float(score))], GRID_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
     with ThreadPoolExecutor(parallelism) as pool:
-        for _ in pool.map(one, todo):
-            pass
+        jobs = [pool.submit(one, job) for job in todo]
+        try:
+            for job in jobs:
+                job.result()
+        except BaseException:
+            for job in jobs:        # those that have not begun wait for the next run
+                job.cancel()
+            raise
     return stored_scores(spark, path)
 
 

@@ -87,11 +87,13 @@ def test_grid_search_goes_on_where_it_stopped(spark, tmp_path):
     path = str(tmp_path / "grid")
     with pytest.raises(RuntimeError):
         ml.grid_scores(df, make, points, evaluator, "fold", 3, path, parallelism=1)
-    assert ml.stored_scores(spark, path).count() == 7
+    # A pool that is told of a failure may have begun its next job.
+    there, begun = ml.stored_scores(spark, path).count(), len(fits)
+    assert 7 <= there < 12
     scores = ml.grid_scores(df, make, points, evaluator, "fold", 3, path, parallelism=2)
-    assert scores.count() == 12 and len(fits) == 8 + 5
+    assert scores.count() == 12 and len(fits) == begun + 12 - there
     ml.grid_scores(df, make, points, evaluator, "fold", 3, path)
-    assert len(fits) == 13                      # all there: nothing fitted
+    assert len(fits) == begun + 12 - there      # all there: nothing fitted
     table = ml.best_point(scores).collect()
     assert len(table) == 4 and sum(r["best"] for r in table) == 1
     assert max(table, key=lambda r: r["mean_score"])["best"]

@@ -102,7 +102,7 @@ def count_tokens(df: DataFrame, path: str, cache: str, text: str = "text", keep:
                            "digests")
     missing = scratch.save(digests.select("content").distinct().join(stored(spark, folder), "content", "left_anti"), "missing")
     texts = own.select(F.col("__content").alias("content"), F.col("__text").alias("text"))
-    if missing.count() * 64 <= BROADCAST_BYTES:     # texts of hits stay where they are
+    if missing.count() * 160 <= BROADCAST_BYTES:    # 160 bytes a row as measured; texts of hits stay where they are
         texts = texts.join(F.broadcast(missing), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
     else:
         texts = texts.groupBy("content").agg(F.first("text").alias("text")).join(missing, "content", "left_semi")

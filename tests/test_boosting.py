@@ -102,3 +102,17 @@ def test_grid_search_goes_on_where_it_stopped(spark, tmp_path):
 def test_the_programs_grid_is_whole():
     from tabforge.plans import models
     assert len(models.FOREST_GRID) == 54 and len({tuple(p.items()) for p in models.FOREST_GRID}) == 54
+
+
+def test_the_credit_program_scores_above_chance(spark):
+    """The assembled matrix of sf0.01 carries the signal: a few rounds on two
+    folds are enough for an AUC above 0.65."""
+    from tabforge.plans import loans, models
+    from tabforge.plans.common import T
+    from tests.conftest import SF01
+    data, names = models.credit_frame(T(spark, SF01))
+    data = data.withColumn("fold", ml.fold_col(loans.KEY, 2, seed=1024))
+    oof = boosting.out_of_fold(data, names, models._credit_gbm, "fold", 2, loans.KEY, "TARGET", patience=10, max_rounds=12,
+                               first_rounds=12)
+    found = metrics.auc(oof, "score", "TARGET").first()
+    assert found["n"] == 1200 and found["auc"] > 0.65

@@ -92,10 +92,7 @@ def _stats_plan(df: DataFrame, recipes: Sequence[Recipe], keep: Callable[[DataFr
     exprs = [agg_by_name(a, c).alias(tmp(c, a)) for c, a in plain] or [F.count(F.lit(1)).alias("_n")]
     if len(merged) == 1:
         keys = list(merged[0][0])
-        # a missing-key group holds exactly the missing-key rows: dropping it
-        # after the aggregate equals filtering first (C3), with each key
-        # expression evaluated once
-        combined = df.groupBy(*keys).agg(*exprs).where(all_not_null(keys)).withColumn("_gid", F.lit(0).cast("long"))
+        combined = per_key(df, keys, exprs, list(dict.fromkeys(c for c, _ in plain))).withColumn("_gid", F.lit(0).cast("long"))
     else:
         combined = df.groupingSets([list(k) for k, _ in merged], *all_keys).agg(
             *exprs, F.grouping_id().cast("long").alias("_gid"))
@@ -120,6 +117,39 @@ def _stats_plan(df: DataFrame, recipes: Sequence[Recipe], keep: Callable[[DataFr
     return combined, parts
 
 
+STATE = 13          # bytes of partial sums per aggregate, about, for a group and task
+HOT_SHARE = 1000    # a key with more than this part of the rows is hot
+
+
+def per_key(df: DataFrame, keys: Sequence[str], exprs: Sequence[Column], columns: Sequence[str],
+            derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``exprs`` over ``columns`` per key, groups with a missing key dropped;
+    with ``derive``, over the columns that it makes of them row by row.
+
+    Partial sums of many statistics are far wider than the rows they come
+    from, and where a group has few rows a task combines few of them.  So
+    the rows are counted per key first (narrow); if the partial sums would
+    outweigh the rows, the rows themselves go to their group, but for those
+    of hot keys (fewer than ``HOT_SHARE``), which are combined before they
+    move as always."""
+    keys = list(keys)
+    rows = df.where(all_not_null(keys)).select(*keys, *[c for c in columns if c not in keys])
+
+    def grouped(part: DataFrame) -> DataFrame:
+        return (derive(part) if derive else part).groupBy(*keys).agg(*exprs)
+
+    counted = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "per-key")
+    size = counted.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("groups")).first()
+    total = size["rows"] or 0
+    if size["groups"] * STATE * len(exprs) <= total * row_width(rows):
+        return grouped(rows)
+    hot = counted.where(F.col("_rows") * HOT_SHARE > total).select(*keys)
+    if hot.isEmpty():
+        return grouped(rows.repartition(*keys))
+    cold = rows.join(F.broadcast(hot), keys, "left_anti")
+    return grouped(cold.repartition(*keys)).unionByName(grouped(rows.join(F.broadcast(hot), keys, "left_semi")))
+
+
 def _spread(found: DataFrame, sets: Sequence[Sequence[str]], all_keys: Sequence[str]) -> DataFrame:
     """Quantiles of some of the key sets under the grouping ids of all."""
     own = list(dict.fromkeys(k for keys in sets for k in keys))

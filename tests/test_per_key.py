@@ -41,5 +41,11 @@ def test_small_groups_move_rows_and_hot_ones_partial_sums(spark):
     assert "RepartitionByExpression [k" not in large
 
 
+def test_groups_scattered_over_tasks_move_rows(spark):
+    """Ten rows a group, but each in a task of its own."""
+    apart = spark.range(0, 2000, 1, 10).select((F.col("id") % 200).alias("k"), F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y"))
+    assert "RepartitionByExpression [k" in _stats(apart)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_no_rows(spark):
     assert _stats(_table(spark, 0, 0)).count() == 0

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from tabforge.llm.common import Memo, frugal, keeps, only, prepare
 
-MEMO = 8 << 20     # bytes of chunks, and of pieces, remembered per worker and generation
+MEMO = 40 << 20    # bytes of chunks, and of pieces, remembered per worker and generation
 PAIRS = 200_000    # pairs of tokens remembered per worker; cleared when full
 #: Fixed value: patterns none of whose matches reaches from a character that
 #: is not white space into white space after it.

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tabforge.llm.common import Memo, Scratch, batches_of_text, frugal, gapless, keeps, only, prepare
 
-MEMO = 12 << 20     # bytes of words remembered per worker and generation
+MEMO = 48 << 20     # bytes of words remembered per worker and generation
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Lower-case Latin-1 letters or common marks alone make one token group.
 _SIMPLE = re.compile("[a-zß-öø-ÿ]+|[.,!?;:%&*$#|]+").fullmatch

@@ -6,7 +6,8 @@ encoder takes the longest token at each place and steps back to a shorter
 one whenever the last two tokens could not stand side by side in a merge
 result; places it gave up are remembered, so the work is linear in the
 piece.  Whether two tokens can be neighbours depends on the two alone and
-is memoised."""
+is memoised.  Longest tokens that already can stand side by side from end to
+end need no step back: only one sequence of neighbours spells a piece."""
 
 from __future__ import annotations
 
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame
 
 from tabforge.llm.common import Memo, frugal, keeps, only, prepare
 
-MEMO = 40 << 20    # bytes of chunks, and of pieces, remembered per worker and generation
+MEMO = 80 << 20    # bytes of chunks (and of pieces) remembered per worker and generation
+SHORT = 256        # bytes of a piece whose longest tokens are tried first, one after the other
 PAIRS = 200_000    # pairs of tokens remembered per worker; cleared when full
 #: Fixed value: patterns none of whose matches reaches from a character that
 #: is not white space into white space after it.
@@ -49,17 +51,18 @@ class Encoder:
         self.decimal = {r: str(r) for r in self.bytes}
         self.split = regex.compile(pattern).finditer
         self.apart = pattern in APART
-        self.automaton = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
-        self.automaton.make_automaton()
         self.parts: dict[int, tuple[int, int] | None] = {}   # a token's last merge; None: a single byte
         self.joined: dict[tuple[int, int], int] = {}         # the merge's other direction
         self.shorter: dict[int, int | None] = {}             # longest proper prefix that is a token
         self.fits: dict[tuple[int, int], bool] = {}
         self.memo = Memo(MEMO)                               # ids of chunks
-        self.pieces = Memo(MEMO)
+        self.pieces = self.memo if self.apart else Memo(MEMO)    # cut apart, a piece is also a chunk of this one piece
         self._learn()
+        self.size = {r: len(t) for r, t in self.bytes.items()}
+        self.automaton = ahocorasick.Automaton()             # tokens that merges lead to
+        for rank in self.parts:
+            self.automaton.add_word(self.bytes[rank].decode("latin-1"), rank)
+        self.automaton.make_automaton()
 
     def _learn(self) -> None:
         """Find each token's last merge, low ranks first: the split into two
@@ -125,18 +128,19 @@ class Encoder:
         """Tokens of one piece (a match of the pattern)."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
-        n = len(data)
+        n, size, text = len(data), self.size, data.decode("latin-1")
+        if n <= SHORT and (easy := self._greedy(n, text)) is not None:
+            return easy
         longest: list[int | None] = [None] * n
-        for end, rank in self.automaton.iter(data.decode("latin-1")):
-            if rank in self.parts:      # later ends are longer, so the last one stays
-                longest[end - len(self.bytes[rank]) + 1] = rank
+        for end, rank in self.automaton.iter(text):
+            longest[end - size[rank] + 1] = rank    # later ends are longer, so the last one stays
         dead = bytearray(n + 1)
         out: list[int] = []
         at, token = 0, longest[0]
         while token is not None:
             last = out[-1] if out else None
             while True:
-                end = at + len(self.bytes[token])
+                end = at + size[token]
                 if not dead[end] and (last is None or self._fit(last, token)):
                     out.append(token)
                     at = end
@@ -148,10 +152,25 @@ class Encoder:
                     if not out:
                         raise ValueError("the ranks lack single bytes")
                     token = out.pop()
-                    at -= len(self.bytes[token])
+                    at -= size[token]
                     break
         return out
 
+    def _greedy(self, n: int, text: str) -> list[int] | None:
+        """The longest tokens one after the other, if they are the result."""
+        known, size = self.fits, self.size
+        out: list[int] = []
+        last, covered = None, 0
+        for _, token in self.automaton.iter_long(text):
+            if last is not None:
+                fits = known.get((last, token))
+                if not (self._fit(last, token) if fits is None else fits):
+                    return None
+            out.append(token)
+            covered += size[token]
+            last = token
+        return out if covered == n else None
+
     def _reachable(self, token: int) -> int | None:
         token = self.shorter[token]
         while token is not None and token not in self.parts:
@@ -164,10 +183,11 @@ class Encoder:
         found: list[int] = []
         for match in self.split(chunk):
             piece = match[0]
-            ids = self.pieces.get(piece) if len(piece) <= 64 else None
+            part = len(piece) < len(chunk) and len(piece) <= 64
+            ids = self.pieces.get(piece) if part else None
             if ids is None:
                 ids = self.piece(piece.encode())
-                if len(piece) <= 64:
+                if part:
                     self.pieces.put(piece, tuple(ids))
             found += ids
         if len(chunk) <= 64:

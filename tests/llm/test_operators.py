@@ -382,6 +382,27 @@ def test_bpe_is_linear_in_long_texts():
     assert other.encode("a b") == [256]     # a pattern that joins across a blank: matched whole
 
 
+def test_bpe_takes_longest_tokens_that_fit(monkeypatch):
+    """Most words need no step back; those that do, and words with a match
+    that is no neighbour of the next, come out as the library has them."""
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    enc = bpe.Encoder(bpe.read_ranks(path), P.PATTERN)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=enc.ranks, special_tokens={})
+    rng = random.Random(7)
+    words = [" " + "".join(rng.choice("aeiou\u00e9\u00dfntrshdlc") for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    easy = 0
+    for word in words:
+        data = word.encode()
+        ids = enc._greedy(len(data), data.decode("latin-1"))
+        easy += ids is not None
+        assert enc.piece(data) == lib.encode_ordinary(word)
+    assert 400 < easy < 4000
+    monkeypatch.setattr(bpe, "SHORT", 0)        # the walk with steps back gives the same
+    assert all(enc.piece(w.encode()) == lib.encode_ordinary(w) for w in words)
+    enc.encode(words[0] + words[1] + "," + words[1])
+    assert enc.pieces is enc.memo and enc.memo.get(words[1]) is not None     # a word is remembered once, chunk or piece
+
+
 def test_memory_of_workers_is_bounded_in_bytes():
     memo = common.Memo(1 << 16)
     for i in range(20_000):

@@ -53,6 +53,29 @@ def test_patience_keeps_the_best_round(spark):
     assert len(scores) == 6 and few.getNumTrees == int(np.argmax(scores)) + 1
 
 
+def test_no_fit_that_a_last_one_would_repeat(spark, monkeypatch):
+    """Scores that go up to the end: 4, 8, 16, then all 40 rounds, not 32 and
+    40; a patience that runs out ends the fits as before."""
+    grown = []
+
+    class Model:
+        def fit(self, rows):
+            return grown[-1]
+
+    def make(rounds):
+        grown.append(rounds)
+        return Model()
+
+    monkeypatch.setattr(boosting, "cut_to", lambda model, keep: keep)
+    monkeypatch.setattr(boosting, "staged_auc", lambda model, rows, label: [i / 100 for i in range(model)])
+    keep, scores = boosting.fit_with_patience(make, None, None, patience=3, max_rounds=40, first_rounds=4)
+    assert grown == [4, 8, 16, 40] and keep == len(scores) == 40
+    grown.clear()
+    monkeypatch.setattr(boosting, "staged_auc", lambda model, rows, label: [-abs(i - 6) for i in range(model)])
+    assert boosting.fit_with_patience(make, None, None, patience=3, max_rounds=40, first_rounds=4)[0] == 7
+    assert grown == [4, 8, 16]
+
+
 def test_out_of_fold_covers_every_row_and_finds_the_signal(spark):
     df = _frame(spark, n=400, noise=0.7).withColumn("fold", ml.fold_col("id", 4, seed=5)) \
         .withColumn("a", F.when(F.col("id") % 11 != 0, F.col("a")))

@@ -219,6 +219,27 @@ def test_repeats_match_brute_force(spark, first, part, monkeypatch):
     assert made == _removed(rows, 20, first)
 
 
+def test_repeated_names_gather_no_hot_name_in_one_task(spark):
+    """A line that fills many texts gives a few names with most of the places."""
+    scratch = Scratch(spark, "t")
+    names = [f"hot{i % 2}" if i % 10 else f"own{i}" if i % 20 else f"twice{i // 40}" for i in range(8000)]
+    named = scratch.save(spark.createDataFrame([(1, i // 50, i % 50, n, i) for i, n in enumerate(names)],
+                                               "part long, block long, at int, name string, place long").repartition(8), "names")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        made = repeats._repeated(named, scratch).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    many, low = Counter(names), {n: i for i, n in reversed([*enumerate(names)])}
+    want = [(i, n, low[n]) for i, n in enumerate(names) if many[n] > 1]
+    assert sorted((r["place"], r["name"], r["low"]) for r in made) == want
+    assert max(Counter(r["task"] for r in made).values()) < 2500      # 4,000 places have one name
+
+
 def test_repeats_query_matches_brute_force(spark, docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     want = {i: (*w[:3], hashlib.sha256(w[3]).hexdigest()) for (i, _), w in zip(rows, _removed(rows, 400, False))}
